@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelyard.operators.aggregates import first_seen, latest_names, session_counts
 from panelyard.operators.gates import SHRINK_TOLERANCE_PCT
-from panelyard.operators.ordered import entity_spans, stale_entities
+from panelyard.operators.ordered import entity_spans
 
 # Look-back and waiting limits.
 LOOKBACK_DAYS = 7
@@ -47,9 +47,10 @@ def cursor_entities(
     known = known.withColumn("verified", F.col("required") & F.col("delivered") & ~F.col("failed"))
     verified = known.where("verified").select(entity)
     spans = entity_spans(df.join(verified, entity, "left_semi"), entity, date, [cohort])
-    live = stale_entities(spans.where(F.col("holes") == 0), [cohort], "last_date", STALE_DAYS)
-    flags = spans.select(entity, "last_date", (F.col("holes") > 0).alias("holed")).join(
-        live.select(entity, "stale"), entity, "left")
+    newest = spans.where(F.col("holes") == 0).groupBy(cohort).agg(F.max("last_date").alias("_newest"))
+    flags = spans.join(newest, cohort, "left").select(
+        entity, "last_date", (F.col("holes") > 0).alias("holed"),
+        (F.datediff("_newest", "last_date") > STALE_DAYS).alias("stale"))
     return known.join(flags, entity, "left")
 
 
@@ -82,10 +83,12 @@ def completeness_cursor(
                     | (F.col("missing") >= F.col("required")), "incomplete")
               .when(F.col("repeated") > 0, "invalid_dates")
               .when(F.col("live") == 0, "session_unverified").otherwise("ok"))
-    reached = facts.withColumn("status", status).withColumn("_reached", F.greatest(previous, proven))
-    gap = sparse_dates(df, entity, date, sparse_min_pct).where(
-        (F.col(date) > previous) & (F.col(date) <= reached.select("_reached").scalar()))
-    out = reached.withColumn("_gap", gap.agg(F.min(date)).scalar())
+    # Sparse dates are at most the calendar days of the feed, so they travel as one array.
+    sparse = sparse_dates(df, entity, date, sparse_min_pct).agg(F.collect_list(date)).scalar()
+    out = (facts.withColumn("status", status).withColumn("_reached", F.greatest(previous, proven))
+           .withColumn("_sparse", sparse)
+           .withColumn("_gap", F.array_min(F.filter(
+               "_sparse", lambda d: (d > previous) & (d <= F.col("_reached"))))))
     holds = F.col("_gap").isNotNull() & (F.datediff(today, previous) <= max_hold_days)
     cursor = F.when(holds, F.greatest(previous, F.date_sub("_gap", 1))).otherwise(F.col("_reached"))
     return out.select(

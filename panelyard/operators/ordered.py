@@ -41,17 +41,16 @@ def rank_within(df: DataFrame, group: Sequence[str], measure: str, rank: str = "
     group = list(group)
     counted = df.where(F.col(measure).isNotNull()).groupBy(*group, measure).agg(F.count(F.lit(1)).alias("_n"))
     fractions = [i / spread for i in range(1, spread)]
-    cuts = df.where(F.col(measure).isNotNull()).groupBy(*group).agg(
-        F.percentile_approx(measure, fractions, 1000).alias("_cuts"))
+    cuts = counted.groupBy(*group).agg(F.percentile_approx(measure, fractions, 1000).alias("_cuts"))
     cut = counted.join(cuts, group).withColumn(
         "_slot", F.size(F.filter("_cuts", lambda b: b >= F.col(measure)))).drop("_cuts")
 
     inside = Window.partitionBy(*group, "_slot").orderBy(F.col(measure).desc())
-    above = inside.rowsBetween(Window.unboundedPreceding, -1)
-    placed = cut.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
-    slots = cut.groupBy(*group, "_slot").agg(F.sum("_n").alias("_slot_n"))
+    above = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    placed = cut.withColumn("_above", F.coalesce(above, F.lit(0)))
+    slots = placed.groupBy(*group, "_slot").agg(F.max(F.col("_above") + F.col("_n")).alias("_size"))
     higher = Window.partitionBy(*group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.withColumn("_shift", F.coalesce(F.sum("_slot_n").over(higher), F.lit(0))).drop("_slot_n")
+    slots = slots.select(*group, "_slot", F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_shift"))
     ranks = placed.join(slots, [*group, "_slot"]).select(
         *group, measure, (F.col("_above") + F.col("_shift") + 1).cast("long").alias(rank))
     return df.join(ranks, [*group, measure], "left").select(*df.columns, rank)

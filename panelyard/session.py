@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins from real sizes and splits skewed partitions; timestamps are UTC everywhere.
 SETTINGS = {
@@ -47,3 +47,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a derived frame once to the shared folder and read it back.
+
+    For frames an operator reads several times: the lineage is cut, a lost executor costs one file scan instead of
+    the whole derivation, and later joins plan from real sizes.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelyard.operators import aggregates as A
-from panelyard.workload.base import bars, error_bars, incoming, instruments, panel, query, stored, table
+from panelyard.workload.base import bars, error_bars, incoming, markets, named_panel, query, stored, table
 
 
 @query("session_counts", """
@@ -72,7 +72,7 @@ SELECT entity, coalesce(arg_max(ticker, day), '') AS ticker,
 FROM panel GROUP BY entity
 """, ("panel",))
 def latest_names(spark, sf):
-    rows = panel(spark, sf).withColumn("market", F.when(F.col("market") == "BUILDING", "").otherwise(F.col("market")))
+    rows = named_panel(spark, sf).withColumn("market", F.when(F.col("market") == "BUILDING", "").otherwise(F.col("market")))
     return A.latest_names(rows, "entity", "day", "ticker", "market")
 
 
@@ -145,4 +145,4 @@ FROM instruments i LEFT JOIN (SELECT DISTINCT entity FROM error_bars) e ON e.ent
 """, ("error_bars", "instruments"))
 def failure_rate(spark, sf):
     seen = error_bars(spark, sf).select("entity").distinct().withColumn("_seen", F.lit(True))
-    return A.failure_rate(instruments(spark, sf).join(seen, "entity", "left"), F.col("_seen").isNull())
+    return A.failure_rate(markets(spark, sf).join(seen, "entity", "left"), F.col("_seen").isNull())

@@ -125,7 +125,18 @@ def instruments(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("U"), F.col("c_custkey").cast("string"), suffix).alias("ticker"))
 
 
+def markets(spark: SparkSession, sf: str) -> DataFrame:
+    """Only the market of each user, without the region joins."""
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("entity"), F.col("c_mktsegment").alias("market"))
+
+
 def panel(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars with their market."""
+    return bars(spark, sf).join(markets(spark, sf), "entity")
+
+
+def named_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars with market, region and ticker."""
     return bars(spark, sf).join(instruments(spark, sf), "entity")
 
 

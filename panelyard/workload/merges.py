@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelyard.operators import merge as M
-from panelyard.workload.base import KEYS, VALUES, incoming, instruments, query, stored, table
+from panelyard.workload.base import KEYS, VALUES, bars, error_bars, incoming, instruments, markets, query, stored, table
 
 _CELLS = ", ".join(f"coalesce(n.{c}, o.{c}) AS {c}" for c in VALUES)
 
@@ -80,7 +80,7 @@ SELECT entity, day, open, high, low, close, volume, amount FROM (
   FROM (SELECT *, 0 AS src FROM kept UNION ALL SELECT *, 1 AS src FROM incoming)) WHERE rn = 1
 """, ("stored", "incoming", "instruments"))
 def replace_subset(spark, sf):
-    targets = instruments(spark, sf).where(F.col("market") == "MACHINERY").select("entity")
+    targets = markets(spark, sf).where(F.col("market") == "MACHINERY").select("entity")
     return M.replace_entities(stored(spark, sf), incoming(spark, sf), targets, KEYS, "entity", measure="amount")
 
 
@@ -141,7 +141,6 @@ WHERE dayofweek(b.day) NOT IN (0, 6)
   AND NOT EXISTS (SELECT 1 FROM error_bars e WHERE e.entity = b.entity AND e.day = b.day)
 """, ("bars", "error_bars"))
 def delete_rows(spark, sf):
-    from panelyard.workload.base import bars, error_bars
     panel = bars(spark, sf)
     weekends = panel.where(F.weekday("day") >= 5).select("day")
     return M.delete_rows(panel, weekends, error_bars(spark, sf), "day", KEYS)

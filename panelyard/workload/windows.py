@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelyard.functions import normalise_ticker
-from panelyard.operators import merge as M
 from panelyard.operators import ordered as O
 from panelyard.operators.aggregates import session_counts
-from panelyard.workload.base import (
-    KEYS, bars, error_bars, exact_sum, incoming, instruments, panel, query, stored, table,
-)
+from panelyard.workload.base import KEYS, bars, error_bars, incoming, instruments, markets, panel, query, stored, table
 
 
 @query("change_ratio", """
@@ -118,7 +116,7 @@ SELECT market, entity, last_date, max(last_date) OVER (PARTITION BY market) AS n
        max(last_date) OVER (PARTITION BY market) - last_date > 3 AS stale FROM l
 """, ("error_bars", "instruments"))
 def stale_entities(spark, sf):
-    last = error_bars(spark, sf).join(instruments(spark, sf), "entity").groupBy("market", "entity").agg(
+    last = error_bars(spark, sf).join(markets(spark, sf), "entity").groupBy("market", "entity").agg(
         F.max("day").alias("last_date"))
     return O.stale_entities(last, ["market"])
 
@@ -133,7 +131,7 @@ def quarter_sums(spark, sf):
 
 def cumulative(spark, sf):
     """Year-to-date values; a quarter without lines has no report."""
-    w = O.by_date(["l_suppkey", "year"], "report_key").rowsBetween(O.Window.unboundedPreceding, 0)
+    w = O.by_date(["l_suppkey", "year"], "report_key").rowsBetween(Window.unboundedPreceding, 0)
     return quarter_sums(spark, sf).select(
         "l_suppkey", "year", "report_key", F.sum("revenue").over(w).alias("revenue"),
         F.sum("quantity").over(w).alias("quantity"))
@@ -285,5 +283,3 @@ def report_dependencies(spark, sf):
     need = F.array(*[F.lit(q) for q in (1, 2, 3, 4)])
     return got.select("l_suppkey", "year", (F.size(F.array_except(need, "have")) == 0).alias("available"))
 
-
-__all__ = ["cumulative", "quarter_sums", "M", "exact_sum"]
