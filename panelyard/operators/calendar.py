@@ -43,8 +43,9 @@ def gap_islands(df: DataFrame, entity: list[str], date: str, until: Column) -> D
     """Runs of missing weekdays of each entity, from its first date to ``until``.
 
     Consecutive own weekdays are compared by running weekday number, so a run costs one row whatever its length.
-    Weekend rows count as no session.
+    Weekend rows count as no session, dates after ``until`` are not looked at.
     """
+    df = df.where(F.col(date) <= until)
     first = df.groupBy(*entity).agg(F.min(date).alias(date))
     sessions = df.where(is_weekday(F.col(date))).select(*entity, date).unionByName(first.select(*entity, date))
     numbered = sessions.select(*entity, weekday_floor(F.col(date)).alias("_no")).distinct()

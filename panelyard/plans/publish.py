@@ -37,6 +37,14 @@ class Table:
             schema = T.StructType([*schema.fields, T.StructField(self.partition, T.IntegerType())])
         return read_table(spark, self.path, schema)
 
+    def create(self, spark: SparkSession) -> None:
+        """Make the empty table; an existing one is left alone."""
+        schema = self.schema
+        if self.partition and self.partition not in schema.names:
+            schema = T.StructType([*schema.fields, T.StructField(self.partition, T.IntegerType())])
+        writer = spark.createDataFrame([], schema).write.mode("ignore")
+        (writer.partitionBy(self.partition) if self.partition else writer).parquet(self.path)
+
 
 def _fingerprint(df: DataFrame, columns: Sequence[str]) -> list:
     """Row count and an order-free hash over values and NULL positions."""

@@ -1 +1,61 @@
+"""Structured Streaming over the events table, run until everything available is processed."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelyard.operators import gates as G
+from panelyard.operators import merge as M
+from panelyard.plans import publish as P
+from panelyard.session import scratch_path
+from panelyard.streaming import bars as S
+from panelyard.workload.base import KEYS, query, to_bars
+from panelyard.workload.publication import _BARS
+
+
+@query("stream_bars", "SELECT entity, day, open, high, low, close, volume, amount FROM bars", ("bars",))
+def stream_bars(spark, sf):
+    events = S.open_events(spark, sf, "events.parquet", "ts")
+    bars = S.collect_updates(S.daily_bars(events, "user_id", "ts", "value"))
+    return bars.select("entity", "day", "open", "high", "low", "close", "volume", "amount")
+
+
+@query("stream_final_flags", """
+SELECT entity, day, close, day < (SELECT max(day) FROM bars) - 7 AS final FROM bars
+""", ("bars",))
+def stream_final_flags(spark, sf):
+    """Bars still inside the look-back are provisional."""
+    events = S.open_events(spark, sf, "events.parquet", "ts")
+    return S.collect_updates(S.daily_bars(events, "user_id", "ts", "value")).select("entity", "day", "close", "final")
+
+
+@query("stream_dedup", """
+SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type
+""")
+def stream_dedup(spark, sf):
+    """The feed delivered twice; each event counts once."""
+    events = S.open_events(spark, sf, "events.parquet", "ts")
+    once = S.drop_repeats(events.unionByName(events), ["event_id"], "ts")
+    path = scratch_path(spark, "once")
+    S.run_available(once.select("event_id", "event_type"),
+                    lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch={n}"), "once", "append")
+    return spark.read.option("basePath", path).parquet(f"{path}/batch=*").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_upsert", """
+SELECT entity, day, open, high, low, close, volume, amount, CAST(week(day) AS INTEGER) AS week FROM bars
+""", ("bars",))
+def stream_upsert(spark, sf):
+    """Micro-batches of events turned into bars and upserted through merge, gate and publication."""
+    target = P.Table(scratch_path(spark, "upserted"), _BARS, KEYS, "week")
+    target.create(spark)
+
+    def merge(batch):
+        feed = to_bars(batch).select("*", F.weekofyear("day").alias("week"))
+        current = P.touched(target.read(spark), feed, "week")
+        merged = M.merge_last(current, feed, KEYS)
+        P.publish(merged, target, [("shrink", lambda staged: G.shrink_guard(current, staged, "entity", ["week"]))])
+
+    S.upsert_stream(S.open_events(spark, sf, "events.parquet", "ts"), merge)
+    return target.read(spark)
