@@ -45,8 +45,9 @@ def cursor_entities(
         F.col("rows").isNotNull().alias("delivered"), F.coalesce("_failed", F.lit(False)).alias("failed"),
         (F.col("rows") > F.col("dates")).alias("repeated")))
     known = known.withColumn("verified", F.col("required") & F.col("delivered") & ~F.col("failed"))
-    verified = known.where("verified").select(entity)
-    spans = entity_spans(df.join(verified, entity, "left_semi"), entity, date, [cohort])
+    sound = df.select(entity, date, cohort).join(required.select(entity), entity, "left_semi").join(
+        failed.select(entity), entity, "left_anti")
+    spans = entity_spans(sound, entity, date, [cohort])
     newest = spans.where(F.col("holes") == 0).groupBy(cohort).agg(F.max("last_date").alias("_newest"))
     flags = spans.join(newest, cohort, "left").select(
         entity, "last_date", (F.col("holes") > 0).alias("holed"),
