@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from panelyard.functions.text import strip_blank
+
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 # Quotation step by price band, (upper bound, step); at and above the last bound the step is 1000.
@@ -40,7 +42,7 @@ def _number(text: Column) -> Column:
 
 def parse_amount(c: Column) -> Column:
     """'1,234' -> 1234.0, '-56' -> -56.0; blanks, '-' and other text -> NULL."""
-    return _number(F.regexp_replace(F.regexp_replace(c, r"^\s+|\s+$", ""), ",", ""))
+    return _number(F.replace(strip_blank(c), F.lit(","), F.lit("")))
 
 
 def loose_number(c: Column) -> Column:

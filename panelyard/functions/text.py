@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 # An exchange suffix is a dot and two or three letters, or one of four single-letter exchanges.
 EXCHANGE_SUFFIX = r"(\.(?:[A-Z]{2,3}|[LVFT]))$"
+BLANKS = " \t\n\x0b\f\r"
 QUOTE_SUFFIX = r"-USDT?$"
 COMMON_STOCK = r"^[0-9]{5}0$"
 SNAPSHOT_CODE = r"^[0-9A-Z]{6}$"
 
 
 def strip_blank(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def exchange_suffix(c: Column) -> Column:

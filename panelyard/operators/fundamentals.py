@@ -56,8 +56,10 @@ TAG_SOURCES = {"Sector": "sector", "Industry": "industry"}
 
 
 def _priority(name: Column, variants: Sequence[str]) -> Column:
-    ranks = F.create_map(*[x for i, v in enumerate(variants) for x in (F.lit(v), F.lit(i))])
-    return F.try_element_at(ranks, name)
+    rank = F.when(name == variants[0], 0)
+    for i, v in enumerate(variants[1:], start=1):
+        rank = rank.when(name == v, i)
+    return rank
 
 
 def extract_accounts(
@@ -69,24 +71,33 @@ def extract_accounts(
     """One row per report: each field from its best-ranked account name.
 
     The consolidated statement is used when the report has one at all, else the separate one; within it the first
-    row carrying the best name counts, its cumulative amount before its plain one.  Two grouped passes with
-    map-side partials; reports of any size stay distributed.
+    row carrying the best name counts, its cumulative amount before its plain one.  One grouped pass with map-side
+    partials covers both statements, so reports of any size stay distributed.
     """
     label = strip_blank(F.col(name))
     usable = F.lit(True) if section is None else F.col(section).isin(*sections)
     text = [cumulative, amount] if cumulative else [amount]
 
-    def pick(variants: Sequence[str]) -> Column:
-        rank = F.when(usable, _priority(label, variants))
+    def pick(kind: str, variants: Sequence[str]) -> Column:
+        rank = F.when(usable & (F.col(statement) == kind), _priority(label, variants))
         return F.min_by(F.when(rank.isNotNull(), F.struct(*text)), F.when(rank.isNotNull(), F.struct(rank, F.col(order))))
 
-    rank_of = _priority(F.col(statement), statements)
-    per_statement = (rows.withColumn("_fs", rank_of).where(F.col("_fs").isNotNull())
-                     .groupBy(*report, "_fs", statement)
-                     .agg(*[pick(v).alias(f) for f, v in accounts.items()]))
-    values = [F.coalesce(*[parse_amount(F.col(f"`{f}`.{t}")) for t in text]).alias(f) for f in accounts]
-    chosen = F.min_by(F.struct(F.col(statement).alias("fs_type"), *values), F.col("_fs")).alias("_v")
-    return per_statement.groupBy(*report).agg(chosen).select(*report, "_v.*")
+    fields = list(accounts)
+    picked = rows.where(F.col(statement).isin(*statements)).groupBy(*report).agg(
+        *[F.bool_or(F.col(statement) == k).alias(f"_has_{k}") for k in statements],
+        *[pick(k, accounts[f]).alias(f"_{k}_{i}") for k in statements for i, f in enumerate(fields)])
+
+    def chosen(value) -> Column:
+        out = F.when(F.col(f"_has_{statements[0]}"), value(statements[0]))
+        for k in statements[1:]:
+            out = out.when(F.col(f"_has_{k}"), value(k))
+        return out
+
+    def number(i: int):
+        return lambda k: F.coalesce(*[parse_amount(F.col(f"_{k}_{i}.{t}")) for t in text])
+
+    return picked.select(*report, chosen(F.lit).alias("fs_type"),
+                         *[chosen(number(i)).alias(f) for i, f in enumerate(fields)])
 
 
 def annual_accounts(rows: DataFrame, report: Sequence[str] = ("code", "year"), **options) -> DataFrame:

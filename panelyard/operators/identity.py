@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelyard.functions import id_symbol, strip_blank, strip_quote, symmetric_ratio
 from panelyard.operators.aggregates import last_observation
 from panelyard.operators.merge import first_source
+from panelyard.session import materialise
 
 # Price ratios that replace, suspect and confirm a symbol; days without bars that raise suspicion.
 MISMATCH_RATIO, SUSPECT_RATIO, CONFIRM_RATIO, STALE_DAYS = 5.0, 2.0, 1.5, 3
@@ -56,7 +57,7 @@ def symbol_overrides(
     close: str = "Close",
 ) -> DataFrame:
     """The final map: price mismatches, then confirmed suspects, then symbols found by search."""
-    latest = last_observation(bars, "ticker", date, [close]).withColumnRenamed(close, "price")
+    latest = materialise(last_observation(bars, "ticker", date, [close]).withColumnRenamed(close, "price"), "latest")
     wrong = price_overrides(latest, listing)
     confirmed = confirmed_overrides(suspects(latest, listing, wrong), alternates)
     return first_source([wrong, confirmed, discovered.select("ticker", "symbol")], ["ticker"])

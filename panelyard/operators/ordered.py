@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelyard.functions import finite, is_common_stock, month_end_weekday, zero_fill
+from panelyard.session import materialise
 
 BASELINE_SESSIONS = 5
 
@@ -30,24 +31,28 @@ def with_changes(
             .withColumn(ratio, (F.try_divide(F.col(close), F.col("_prev")) - 1) * 100).drop("_prev"))
 
 
-def rank_within(df: DataFrame, group: Sequence[str], measure: str, rank: str = "rank", spread: int = 32) -> DataFrame:
+def rank_within(df: DataFrame, group: Sequence[str], measure: str, rank: str = "rank", spread: int = 32,
+                cut: bool = False) -> DataFrame:
     """Descending rank inside each group; ties share the smallest rank; a missing measure gets no rank.
 
     Exact, and no group has to fit one task.  Equal values are counted first (so a value shared by many rows is
     one row), each group is cut at approximate quantiles into ``spread`` value ranges, ranges are ranked in
     parallel and shifted by the number of rows in the higher ranges.  The cuts only balance the work: any
     monotone cut gives the same ranks.
+
+    The input is read twice; set ``cut`` when deriving it is costly, and it is written once first.
     """
     group = list(group)
+    df = materialise(df, "ranked") if cut else df
     counted = df.where(F.col(measure).isNotNull()).groupBy(*group, measure).agg(F.count(F.lit(1)).alias("_n"))
     fractions = [i / spread for i in range(1, spread)]
     cuts = counted.groupBy(*group).agg(F.percentile_approx(measure, fractions, 1000).alias("_cuts"))
-    cut = counted.join(cuts, group).withColumn(
+    placed = counted.join(cuts, group).withColumn(
         "_slot", F.size(F.filter("_cuts", lambda b: b >= F.col(measure)))).drop("_cuts")
 
     inside = Window.partitionBy(*group, "_slot").orderBy(F.col(measure).desc())
     above = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    placed = cut.withColumn("_above", F.coalesce(above, F.lit(0)))
+    placed = placed.withColumn("_above", F.coalesce(above, F.lit(0)))
     slots = placed.groupBy(*group, "_slot").agg(F.max(F.col("_above") + F.col("_n")).alias("_size"))
     higher = Window.partitionBy(*group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     slots = slots.select(*group, "_slot", F.coalesce(F.sum("_size").over(higher), F.lit(0)).alias("_shift"))

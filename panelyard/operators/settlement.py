@@ -83,7 +83,8 @@ def compare_settlement(
     held = [F.col(f"s.{v}").alias(f"_was_{v}") for v in rules.values]
     rows = both.select(*keys, *[target(v) for v in plain], *held, (~had).alias("added"))
     if rules.rank:
-        rows = rank_within(rows, [rules.date, rules.rank_group], rules.rank_measure, rules.rank)
+        rows = rank_within(rows, [rules.date, rules.rank_group], rules.rank_measure, rules.rank,
+                           cut=True)   # the full join above is computed once
     kept = []
     for v in rules.values:
         dtype = stored.schema[v].dataType

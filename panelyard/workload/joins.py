@@ -102,4 +102,4 @@ def flagship(spark, sf):
     from panelyard.operators.ordered import rank_within, with_changes
     merged = merge_last(stored(spark, sf), incoming(spark, sf), KEYS).join(markets(spark, sf), "entity")
     changed = with_changes(merged.select(*KEYS, "market", "close", "volume"), "entity", "day", "close")
-    return rank_within(changed, ["day", "market"], "volume")
+    return rank_within(changed, ["day", "market"], "volume", cut=True)

@@ -37,7 +37,7 @@ def _held(spark, sf):
     """The stored panel with market and rank, as it was published provisionally."""
     from panelyard.operators.ordered import rank_within
     rows = stored(spark, sf).join(markets(spark, sf), "entity")
-    return materialise(rank_within(rows, ["day", "market"], "amount"), "held")
+    return materialise(rank_within(rows, ["day", "market"], "amount", cut=True), "held")
 
 
 def _source(spark, sf):

@@ -28,7 +28,7 @@ FROM (SELECT entity, day, market, CASE WHEN volume > 1 THEN amount END AS amount
 """, ("panel",))
 def rank_in_market(spark, sf):
     rows = panel(spark, sf).select(*KEYS, "market", F.when(F.col("volume") > 1, F.col("amount")).alias("amount"))
-    return O.rank_within(rows, ["day", "market"], "amount")
+    return O.rank_within(rows, ["day", "market"], "amount", cut=True)
 
 
 @query("rank_ties", """
