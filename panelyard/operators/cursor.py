@@ -86,12 +86,14 @@ def completeness_cursor(
               .when(F.col("live") == 0, "session_unverified").otherwise("ok"))
     # Sparse dates are at most the calendar days of the feed, so they travel as one array.
     sparse = sparse_dates(df, entity, date, sparse_min_pct).agg(F.collect_list(date)).scalar()
-    out = (facts.withColumn("status", status).withColumn("_reached", F.greatest(previous, proven))
+    held = F.col("_previous")
+    out = (facts.withColumn("_previous", previous).withColumn("status", status)
+           .withColumn("_reached", F.greatest(held, proven))
            .withColumn("_sparse", sparse)
            .withColumn("_gap", F.array_min(F.filter(
-               "_sparse", lambda d: (d > previous) & (d <= F.col("_reached"))))))
-    holds = F.col("_gap").isNotNull() & (F.datediff(today, previous) <= max_hold_days)
-    cursor = F.when(holds, F.greatest(previous, F.date_sub("_gap", 1))).otherwise(F.col("_reached"))
+               "_sparse", lambda d: (d > held) & (d <= F.col("_reached"))))))
+    holds = F.col("_gap").isNotNull() & (F.datediff(today, held) <= max_hold_days)
+    cursor = F.when(holds, F.greatest(held, F.date_sub("_gap", 1))).otherwise(F.col("_reached"))
     return out.select(
         "status", F.when(F.col("status") == "ok", cursor).alias("cursor"), "required", "delivered", "missing",
         "holed", "stale", (holds & (F.col("status") == "ok")).alias("held"), (F.col("status") == "ok").alias("ok"))

@@ -540,7 +540,7 @@ def audit_backfill(lake: Lake, market: str, after: Column, fix: bool = False) ->
     """Late starters of a market; ``fix`` queues the new ones for backfill."""
     lake.pending().create(lake.spark)
     rows = lake.read(lake.bars(market))
-    found = CU.backfill_audit(rows, lake.queue(market, "backfill"), "Ticker", "Date", after)
+    found = materialise(CU.backfill_audit(rows, lake.queue(market, "backfill"), "Ticker", "Date", after), "audit")
     if fix:
         intent = _listed(found.where(F.col("state") == "new"), market, "backfill")
         _set_pending(lake, intent, intent.where(F.lit(False)))
