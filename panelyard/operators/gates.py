@@ -6,6 +6,7 @@ A gate is lazy: it returns a small verdict frame (one row per partition year, da
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,6 +44,20 @@ def require(gate: str, verdict: DataFrame) -> None:
         raise GateRefused(gate, bad[0].asDict())
 
 
+def require_all(gates: Sequence[tuple[str, DataFrame]]) -> None:
+    """Judge several verdicts in one job; the first gate in the list that refuses is raised."""
+    if not gates:
+        return
+    refused = None
+    for place, (gate, verdict) in enumerate(gates):
+        bad = verdict.where(~F.coalesce(F.col("ok"), F.lit(True))).limit(1).select(
+            F.lit(place).alias("place"), F.lit(gate).alias("gate"), F.to_json(F.struct("*")).alias("row"))
+        refused = bad if refused is None else refused.unionByName(bad)
+    rows = sorted(refused.collect())                       # at most one row per gate
+    if rows:
+        raise GateRefused(rows[0]["gate"], json.loads(rows[0]["row"]))
+
+
 def shrink_guard(
     before: DataFrame, after: DataFrame, entity: str, by: Sequence[str] = (), exempt: DataFrame | None = None,
     tolerance_pct: float = SHRINK_TOLERANCE_PCT,

@@ -103,8 +103,12 @@ def finalise_feed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return by_year(shaped, "Date"), broken
 
 
+def _no_rows(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("ok", F.col("rows") == 0)
+
+
 def _refuse_rows(gate: str, rows: DataFrame) -> None:
-    G.require(gate, rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("ok", F.col("rows") == 0))
+    G.require(gate, _no_rows(rows))
 
 
 def _set_pending(lake: Lake, intent: DataFrame, resolved: DataFrame) -> None:
@@ -131,9 +135,10 @@ def update_bars(
     lake.cursors().create(lake.spark)
     lake.pending().create(lake.spark)
     actions = A.corporate_actions(raw, "Ticker", "Dividends", "`Stock Splits`" if "Stock Splits" in raw.columns else "Splits")
-    G.require("actions", actions.agg(F.coalesce(F.bool_and("complete"), F.lit(False)).alias("ok")))
     bars, broken = finalise_feed(raw)
-    _refuse_rows("price_values", broken)
+    G.require_all([
+        ("actions", actions.agg(F.coalesce(F.bool_and("complete"), F.lit(False)).alias("ok"))),
+        ("price_values", _no_rows(broken))])
     feed = materialise(bars.withColumn("_cohort", _cohort(market)), "feed")
 
     state = lake.read(lake.cursors()).where(F.col("market") == market)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelyard.operators.gates import GateRefused, require
+from panelyard.operators.gates import GateRefused, require_all
 from panelyard.operators.ordered import keep_newest
 from panelyard.session import scratch_path
 from panelyard.sources.readers import read_table
@@ -91,16 +91,14 @@ def publish(candidate: DataFrame, table: Table, gates=()) -> DataFrame:
     Any refusal leaves the table untouched.  Returns the staged rows.
     """
     staged = stage(candidate, table)
-    for name, gate in gates:
-        require(name, gate(staged))
+    require_all([(name, gate(staged)) for name, gate in gates])
     promote(staged, table)
     return staged
 
 
 def preview(candidate: DataFrame, gates=()) -> DataFrame:
     """The same path without the write: gates run, the lazy candidate is returned."""
-    for name, gate in gates:
-        require(name, gate(candidate))
+    require_all([(name, gate(candidate)) for name, gate in gates])
     return candidate
 
 

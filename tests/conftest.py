@@ -12,9 +12,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("panelyard-tests")
-        .config("spark.sql.shuffle.partitions", "3").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
-        .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.codegen.wholeStage", "false").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
