@@ -63,7 +63,7 @@ def collect_updates(bars: DataFrame, label: str = "bars") -> DataFrame:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     run_available(bars, write, label)
-    versions = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    versions = spark.read.parquet(path)
     newest = keep_one(versions, ["entity", "day"], [F.col("batch").desc()]).drop("batch")
     edge = versions.agg(F.max("day")).scalar()
     return newest.withColumn("final", F.col("day") < F.date_sub(edge, 7))

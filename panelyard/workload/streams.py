@@ -39,7 +39,7 @@ def stream_dedup(spark, sf):
     path = scratch_path(spark, "once")
     S.run_available(once.select("event_id", "event_type"),
                     lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch={n}"), "once", "append")
-    return spark.read.option("basePath", path).parquet(f"{path}/batch=*").groupBy("event_type").agg(
+    return spark.read.parquet(path).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"))
 
 
