@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from panelyard.workload import ORACLES, QUERIES
 
 SF = os.environ.get("PANELYARD_SF", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -17,7 +18,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 USUAL = ["flagship", "merge_policy", "rank_ties", "feed_dedup", "write_coverage", "closed_copy", "settle_plan",
          "reconcile", "cursor", "gap_islands", "symbol_map", "account_priority", "quarterly_rows", "validate_bars",
          "listing_json", "ticker_lines", "orphan_dates", "change_code", "publish_upsert", "stream_upsert"]
-ALL = sorted(entry.queries())
+ALL = sorted(QUERIES)
 CHOSEN = ALL if os.environ.get("PANELYARD_ALL") else USUAL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -46,7 +47,7 @@ def test_query_matches_sql(spark, oracle, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def plan_of(spark, name):
