@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import exact_dedup, mixing, sharding
+from panelyard.llm import chat, exact_dedup, mixing, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,28 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query("op4_chat_perspectives", """
+WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role,
+                  replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body,
+                  CAST(floor(coalesce(turn, 0) / 512) AS BIGINT) AS part FROM conversations),
+s AS (SELECT DISTINCT conv_id AS c, role AS speaker FROM t WHERE role <> 'system'),
+v AS (SELECT t.*, speaker, role = speaker AS own,
+             CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
+                  ELSE '<|user name=' || role || '|>' END || chr(10) AS head
+      FROM t JOIN s ON conv_id IS NOT DISTINCT FROM c),
+o AS (SELECT *, CAST(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part
+                       ORDER BY turn NULLS FIRST, role, body ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM v)
+SELECT conv_id, speaker, part, count(*) AS n_turns,
+       string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, body) AS rendered,
+       coalesce(string_agg(CASE WHEN own THEN (upto - length(body)) || ':' || upto END, ','
+                           ORDER BY turn NULLS FIRST, role, body), '') AS masks
+FROM o GROUP BY conv_id, speaker, part""")
+def op4_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
+    views = chat.rotate_perspectives(table(spark, sf, "conversations"))
+    spans = F.transform("masks", lambda m: F.concat_ws(":", m.start.cast("string"), m.end.cast("string")))
+    return views.withColumn("masks", F.array_join(spans, ","))
+
+
 @query("op6_sharding")
 def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.ring_shards(table(spark, sf, "documents"), 24)
@@ -41,6 +63,14 @@ def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query("op7_secrets")
+def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf, "documents"))
+    return found.select("doc_id", *[secrets.counted(F.col("base"), k).alias(f"n_{k}") for k in secrets.BASE],
+                        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+                        secrets.joined(F.concat("base", "linked")).alias("spans"))
+
+
 @query("op10_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
