@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import chat, exact_dedup, mixing, secrets, sharding
+from panelyard.llm import chat, exact_dedup, mixing, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +56,12 @@ def op4_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
     return views.withColumn("masks", F.array_join(spans, ","))
 
 
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    rows = simhash.near_classes(table(spark, sf, "documents"))
+    return rows.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op6_sharding")
 def op6_sharding(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.ring_shards(table(spark, sf, "documents"), 24)
