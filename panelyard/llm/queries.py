@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import chat, exact_dedup, mixing, secrets, sharding, simhash
+from panelyard.llm import bpe, chat, exact_dedup, mixing, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,6 +29,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_bpe")
+def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, VOCABULARY).drop("text"), VOCABULARY)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op3_mixing")
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf, "documents"))
