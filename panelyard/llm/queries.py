@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import bpe, chat, exact_dedup, mixing, secrets, sharding, simhash
+from panelyard.llm import bpe, chat, exact_dedup, mixing, secrets, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,6 +89,15 @@ def op7_secrets(spark: SparkSession, sf: str) -> DataFrame:
                         secrets.joined(F.concat("base", "linked")).alias("spans"))
 
 
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf, "labels"))
+    scored = toxicity.score(docs, model).drop("text")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op10_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
