@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import bpe, chat, exact_dedup, mixing, secrets, sharding, simhash, toxicity
+from panelyard.llm import bpe, chat, exact_dedup, mixing, secrets, sharding, simhash, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,6 +98,11 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query("op9_vectors")
+def op9_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf, "embeddings"))
+
+
 @query("op10_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
