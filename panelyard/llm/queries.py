@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import bpe, chat, exact_dedup, mixing, secrets, sharding, simhash, toxicity, vectors
+from panelyard.llm import bpe, chat, exact_dedup, line_dedup, mixing, secrets, sharding, simhash, toxicity, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +32,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
