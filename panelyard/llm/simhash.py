@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelyard.llm.components import components, local_stars
@@ -44,14 +44,23 @@ def fingerprint(text: bytes, words_in_shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words_in_shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed number) for every row; null and empty texts have 0."""
+    """``doc_id, mark, fp`` for every row: a hash of the text and the 64 bits as a signed number.
+
+    Null and empty texts have the bits 0.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py() or b"", words_in_shingle) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            fps = [fingerprint(t.as_py() or b"", words_in_shingle) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())],
+                                             ["doc_id", "mark", "fp"])
+
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), _mark(text).alias("mark"),
+                       F.col(text).cast("binary").alias("body"))
+    return rows.mapInArrow(run, "doc_id long, mark long, fp long")
+
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("body"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+def _mark(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("binary"))
 
 
 # ---- anchors
@@ -225,10 +234,10 @@ def near_links(fps: DataFrame, most: int = 4, group_rows: int = GROUP_ROWS) -> D
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", *, words_in_shingle: int = 4,
                  most: int = 4) -> DataFrame:
-    """One row per input row: ``doc_id, fp, component_id``.
+    """One row per input row: ``doc_id, mark, fp, root, component_id``.
 
     Documents whose fingerprints differ in at most ``most`` bits are linked; ``component_id`` is the smallest key
-    reachable.  Texts without words have fingerprint 0 and are linked like others.  Null keys count only where a
+    reachable and ``root`` the smallest fingerprint.  ``mark`` is a hash of the text.  Texts without words have fingerprint 0 and are linked like others.  Null keys count only where a
     component has no other.  Equal fingerprints are one class from the start, so copies cost nothing later; rows
     find their class by fingerprint, which a hot class cannot stall because both sides are written and can be split.
     """
@@ -237,7 +246,24 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", *, wo
     roots = materialise(components(near_links(classes, most)), "roots")
     member = materialise(roots.join(classes.withColumnRenamed("fp", "node"), "node"), "members")
     heads = materialise(member.groupBy("root").agg(F.min("first").alias("component_id")), "heads")
-    linked = materialise(member.join(heads, "root").select(F.col("node").alias("fp"), "component_id"), "linked")
+    linked = materialise(member.join(heads, "root").select(F.col("node").alias("fp"), "root", "component_id"), "linked")
     labels = materialise(classes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "first").alias("component_id")), "labels")
-    return rows.join(labels, "fp").select("doc_id", "fp", "component_id")
+        "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "first").alias("component_id")),
+        "labels")
+    return rows.join(labels, "fp").select("doc_id", "mark", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", *, words_in_shingle: int = 4,
+             most: int = 4) -> DataFrame:
+    """The rows of ``docs``, unchanged, that stay when one of each near-duplicate component does.
+
+    The row with the smallest key stays (null keys last; on a tie the smaller hash of the text); of rows equal in key
+    and text one.  Texts without words are one component.
+    """
+    rows = near_classes(docs, key, text, words_in_shingle=words_in_shingle, most=most)
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
+                                    .alias("at"))
+    best = materialise(best.select(F.col("at.doc_id").alias("keep_key"), F.col("at.mark").alias("keep_mark")), "best")
+    kept = docs.withColumn("keep_text_mark", _mark(text)).join(best, F.col(key).cast("long").eqNullSafe(
+        F.col("keep_key")) & (F.col("keep_mark") == F.col("keep_text_mark")), "left_semi")
+    return kept.dropDuplicates([key, "keep_text_mark"]).select(*[F.col(f"`{c}`") for c in docs.columns])
