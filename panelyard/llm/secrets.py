@@ -83,7 +83,9 @@ def scan(docs: DataFrame, text: str = "text", *, scope_chars: int = SCOPE_CHARS)
     rows = rows.withColumn("base", F.array_sort(F.concat(*base)))
     rows = rows.withColumn("ids_", _spans(t, IDENTIFIER, 3, _ID))
     held = (F.size("ids_") > 0) | F.exists("base", lambda s: s.role == _ID)
-    rows = rows.withColumn("secrets_", _spans(t, SECRET, 4, _SECRET, when=held))
+    # an identifier that looks random is not its own secret
+    rows = rows.withColumn("secrets_", F.filter(_spans(t, SECRET, 4, _SECRET, when=held), lambda w: ~F.exists(
+        "ids_", lambda i: (i.start < w.end) & (i.end > w.start))))
     both = held & ((F.size("secrets_") > 0) | F.exists("base", lambda s: s.role == _SECRET))
     rows = rows.withColumn("places_", _spans(t, ENDPOINT, 5, _PLACE, when=both))
     weak = F.filter(F.concat("ids_", "secrets_", "places_"), lambda w: ~F.exists(
