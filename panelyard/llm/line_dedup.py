@@ -163,13 +163,16 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
                         "lines")
     once = lines.where("not repeated")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark", "line")
-    classes = materialise(once.groupBy("key").agg(F.min(place).alias("at")), "classes")
-
-    parts = once.where(F.size("halves") > 0).select("key", F.explode("halves").alias("half")).distinct()
-    parts = materialise(parts, "halves")
-    shared = materialise(parts.groupBy("half").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("half"),
-                         "shared")
-    suspects = parts.join(shared, "half", "left_semi").select("key").distinct().join(classes, "key")
+    first = F.min(F.struct(place.alias("at"), "halves"))     # the halves ride along; equal lines have the same
+    classes = materialise(once.groupBy("key").agg(first.alias("first")).select(
+        F.monotonically_increasing_id().alias("cid"), "key", "first.at", "first.halves"), "classes")
+
+    parts = classes.select("cid", F.explode("halves").alias("half"))
+    # a line of any length may have the same half twice; that is no second line
+    shared = materialise(parts.groupBy("half").agg(F.min("cid").alias("a"), F.max("cid").alias("b"))
+                         .where("a < b").select("half"), "shared")
+    suspects = parts.join(shared, "half", "left_semi").select("cid").distinct().join(
+        classes.drop("halves"), "cid")
     # an order by first place that one number can carry: rows are numbered within sorted ranges
     suspects = materialise(suspects.repartitionByRange("at").sortWithinPartitions("at").select(
         F.monotonically_increasing_id().alias("owner"), "key", "at"), "suspects")
