@@ -15,6 +15,8 @@ from panelyard.session import materialise
 LEAST_WORDS = 3         # shorter lines are never removed
 NEAR_WORDS = 8          # lines of at least so many words are also matched within one edit
 BATCH_ROWS = 1 << 19
+#: Lines whose words are fetched from the documents are broadcast (about 20 bytes each) only up to this number.
+BROADCAST_LINES = 250_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -179,6 +181,8 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
 
     wanted = suspects.groupBy(F.col("at.doc_id").alias("d"), F.col("at.mark").alias("m")).agg(
         F.collect_list(F.struct("at.line", "owner")).alias("wanted"))
+    if suspects.count() <= BROADCAST_LINES:
+        wanted = F.broadcast(wanted)
     bodies = slim.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark"))).select(
         F.split(F.col("body").cast("string"), "\n").alias("all"), F.explode("wanted").alias("w")).select(
         F.col("w.owner").alias("owner"), F.get("all", F.col("w.line")).cast("binary").alias("body"))
