@@ -216,7 +216,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *, lea
     drops = duplicate_lines(docs, key, text, least_words=least_words, near_words=near_words)
     drops = materialise(drops.groupBy(F.col("doc_id").alias("drop_key"), F.col("mark").alias("drop_mark")).agg(
         F.collect_set("line").alias("drop_lines")), "drops")
-    rows = docs.drop("n_lines", "n_removed").join(drops, F.col(key).eqNullSafe(F.col("drop_key")) & (
+    # the decisions grow with the documents, so they are never broadcast
+    rows = docs.drop("n_lines", "n_removed").join(drops.hint("merge"), F.col(key).eqNullSafe(F.col("drop_key")) & (
         F.col("drop_mark") == _mark(text)), "left")
     lines = F.split(F.col(text), "\n")
     count = F.coalesce(F.when(F.length(text) == 0, 0).otherwise(F.size(lines)), F.lit(0))
