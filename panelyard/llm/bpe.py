@@ -28,7 +28,7 @@ class Vocabulary:
             spec = json.load(f)
         model = spec["model"]
         vocab = model["vocab"]
-        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         if model["type"] != "BPE" or spec["decoder"] or kinds != ["NFC", "Replace", "Lowercase"]:
             raise ValueError("not a tokenizer file of the kind this operator encodes")
         self.suffix = model["end_of_word_suffix"] or ""
