@@ -12,8 +12,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 4_000_000     # text tokenised together
-CACHE_WORDS = 200_000       # words a worker remembers; then it starts anew
+CHUNK_CHARS = 1_000_000     # text tokenised together
+CACHE_WORDS = 120_000       # runs a worker remembers; then it starts anew
 
 
 class Vocabulary:

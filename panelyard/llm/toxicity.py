@@ -17,7 +17,7 @@ LANDMARKS = 256             # words the kernel is expanded on, at most
 LETTERS, SPAN = 3, 5        # a subsequence's letters and the most characters it may stretch over
 DECAY = 0.7                 # for each skipped character
 BUCKET_BITS = 20
-CHUNK_CHARS, CACHE_WORDS = 4_000_000, 200_000
+CHUNK_CHARS, CACHE_WORDS = 1_000_000, 100_000
 
 _STEPS = [(a, b) for b in range(2, SPAN) for a in range(1, b)]
 _MULTIPLIERS = tuple(np.uint32(m) for m in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))
