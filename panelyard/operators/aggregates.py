@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from panelyard.functions import same_value, strip_blank
 
 
-def session_counts(df: DataFrame, entity: str, date: str) -> DataFrame:
-    """Distinct entities per date."""
-    return df.groupBy(date).agg(F.countDistinct(entity).alias("n"))
+def session_counts(df: DataFrame, entity: str, date: str, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct entities per date (and group)."""
+    return df.groupBy(*by, date).agg(F.countDistinct(entity).alias("n"))
 
 
 def known_entities(df: DataFrame, entity: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelyard.functions import finite, is_close, same_value, strip_blank, tick_size
 from panelyard.operators.aggregates import entity_count, session_counts
-from panelyard.operators.ordered import coverage_baseline, day_over_day
+from panelyard.operators.ordered import BASELINE_SESSIONS, coverage_baseline, day_over_day
 
 # Default thresholds of the gates.
 SHRINK_TOLERANCE_PCT = 5.0
@@ -77,36 +77,43 @@ def shrink_guard(
 
 def coverage_continuity(
     df: DataFrame, entity: str, date: str, drop_pct: float = COVERAGE_DROP_PCT, min_universe: int = MIN_UNIVERSE,
-    only_dates: DataFrame | None = None,
+    only_dates: DataFrame | None = None, by: Sequence[str] = (),
 ) -> DataFrame:
-    """Entities per date against the previous date.  ``only_dates`` limits a subset merge to known dates."""
+    """Entities per date against the previous date.  ``only_dates`` limits a subset merge to known dates.
+
+    With ``by`` (partition columns) the first date of each partition has no predecessor.  ``judged`` is False where
+    there is none or it has fewer than ``min_universe`` entities; such dates pass.
+    """
     rows = df if only_dates is None else df.join(only_dates.select(date).distinct(), date, "left_semi")
-    daily = day_over_day(session_counts(rows, entity, date), date)
-    bad = (F.col("n_prev") >= min_universe) & (F.col("pct") <= -drop_pct)
-    return daily.withColumn("ok", ~F.coalesce(bad, F.lit(False)))
+    daily = day_over_day(session_counts(rows, entity, date, by), date, by=by)
+    judged = F.coalesce(F.col("n_prev") >= min_universe, F.lit(False))
+    return daily.withColumn("judged", judged).withColumn("ok", ~(judged & F.coalesce(
+        F.col("pct") <= -drop_pct, F.lit(False))))
 
 
 def write_coverage(
     merged: DataFrame, existing: DataFrame, write_dates: DataFrame, entity: str, date: str,
     drop_pct: float = COVERAGE_DROP_PCT, min_universe: int = MIN_UNIVERSE, extra: DataFrame | None = None,
+    sessions: int = BASELINE_SESSIONS,
 ) -> DataFrame:
     """Entities on each written date against the median of neighbouring sessions that are not being written.
 
-    ``extra`` (the previous year) joins the baseline while the stored year has fewer than five sessions.
-    ``verified`` is False where no baseline exists; such dates pass.
+    ``extra`` (the previous year) joins the baseline while the stored year has fewer than ``sessions`` sessions.
+    ``verified`` is False where no baseline exists, ``judged`` where it is below ``min_universe``; such dates pass.
     """
     base = session_counts(existing, entity, date)
     if extra is not None:
-        short = base.agg(F.count(F.lit(1)) < 5).scalar()
+        short = base.agg(F.count(F.lit(1)) < sessions).scalar()
         base = (base.unionByName(session_counts(extra, entity, date).where(short))
                 .groupBy(date).agg(F.max("n").alias("n")))
     targets = write_dates.select(date).distinct()
     after = session_counts(merged.join(targets, date, "left_semi"), entity, date)
     judged = (targets.join(after, date, "left").join(coverage_baseline(base, targets, date), date, "left")
               .withColumn("n", F.coalesce("n", F.lit(0))))
-    short = (F.col("baseline") >= min_universe) & (F.col("n") * 100 < F.col("baseline") * (100 - drop_pct))
+    wide = F.coalesce(F.col("baseline") >= min_universe, F.lit(False))
+    short = wide & (F.col("n") * 100 < F.col("baseline") * (100 - drop_pct))
     return (judged.withColumn("ratio_pct", F.try_divide(F.col("n") * 100.0, F.col("baseline")))
-            .withColumn("verified", F.col("baseline").isNotNull())
+            .withColumn("verified", F.col("baseline").isNotNull()).withColumn("judged", wide)
             .withColumn("ok", ~F.coalesce(short, F.lit(False))))
 
 

@@ -135,6 +135,13 @@ def drop_entities(df: DataFrame, targets: DataFrame, entity: str) -> DataFrame:
             .select(*df.columns))
 
 
+def only_entities(df: DataFrame, targets: DataFrame, entity: str) -> DataFrame:
+    """Rows of entities named in ``targets`` (matched the same way)."""
+    named = targets.select(_entity_key(F.col(entity)).alias("_entity")).distinct()
+    return (df.withColumn("_entity", _entity_key(F.col(entity))).join(named, "_entity", "left_semi")
+            .select(*df.columns))
+
+
 def replace_entities(
     existing: DataFrame, incoming: DataFrame, targets: DataFrame, keys: Sequence[str], entity: str,
     measure: str | None = None, seq: str | None = None,

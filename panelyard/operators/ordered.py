@@ -61,9 +61,12 @@ def rank_within(df: DataFrame, group: Sequence[str], measure: str, rank: str = "
     return df.join(ranks, [*group, measure], "left").select(*df.columns, rank)
 
 
-def day_over_day(counts: DataFrame, date: str, n: str = "n") -> DataFrame:
-    """Previous count and percent change on a one-row-per-date frame (its size is bounded by the calendar)."""
-    prev = F.lag(n).over(Window.orderBy(date))
+def day_over_day(counts: DataFrame, date: str, n: str = "n", by: Sequence[str] = ()) -> DataFrame:
+    """Previous count and percent change on a one-row-per-date frame (its size is bounded by the calendar).
+
+    With ``by`` each group starts anew.
+    """
+    prev = F.lag(n).over(Window.partitionBy(*by).orderBy(date) if by else Window.orderBy(date))
     return counts.withColumn("n_prev", prev).withColumn(
         "pct", F.try_divide((F.col(n) - F.col("n_prev")) * 100.0, F.col("n_prev")))
 
@@ -150,7 +153,7 @@ def quarterise(cumulative: DataFrame, keys: Sequence[str], period: str, fields:
     return wide.select(*keys, F.inline(rows))
 
 
-def keep_newest(df: DataFrame, by: Sequence[str], order: str, count: int = 30) -> DataFrame:
+def keep_newest(df: DataFrame, by: Sequence[str], order: str, count: int) -> DataFrame:
     """The last ``count`` entries of a log (per group when given)."""
     w = Window.partitionBy(*by).orderBy(F.col(order).desc())
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= count).drop("_rn")

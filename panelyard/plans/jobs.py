@@ -24,7 +24,9 @@ from panelyard.operators import rows as R
 from panelyard.operators import settlement as S
 from panelyard.plans import reports as RP
 from panelyard.plans.lake import Lake, by_month, by_year
-from panelyard.plans.publish import Table, append_log, preview, publish, set_boundary, touched, upsert_state
+from panelyard.plans.publish import (
+    Table, append_log, partition_values, preview, pruned, publish, set_boundary, touched, upsert_state,
+)
 from panelyard.schemas import BARS, FINANCIALS, KR_BARS, RATIOS, TAGS, conform
 from panelyard.session import materialise
 from panelyard.sources.checks import infinity_to_null, validate_fundamentals, validate_keys, validate_tags
@@ -43,8 +45,9 @@ class Limits:
     allow_gap: bool = False
 
 
-def _save(candidate: DataFrame, table: Table, gates: Sequence[Gate], apply: bool = True) -> DataFrame:
-    return publish(candidate, table, gates) if apply else preview(candidate, gates)
+def _save(candidate: DataFrame, table: Table, gates: Sequence[Gate], apply: bool = True,
+          partitions: Sequence[int] | None = None) -> DataFrame:
+    return publish(candidate, table, gates, partitions) if apply else preview(candidate, gates)
 
 
 def _key_gate(table: Table, date: str) -> Gate:
@@ -61,46 +64,103 @@ def _bar_gates(current: DataFrame, table: Table, limits: Limits, exempt: DataFra
                                                             limits.shrink_pct)))
     if not limits.allow_gap:
         gates.append(("continuity", lambda rows: G.coverage_continuity(
-            rows, "Ticker", "Date", limits.drop_pct, limits.min_universe, only_dates)))
+            rows, "Ticker", "Date", limits.drop_pct, limits.min_universe, only_dates, by=["year"])))
     return gates
 
 
-def _finish_bars(merged: DataFrame, market: str) -> DataFrame:
-    """Home-calendar rule of the US panel, then changes over the whole history that was read."""
-    rows = R.split_orphan_dates(merged, "Ticker", "Date")[0] if market == "us" else merged
-    out = O.with_changes(rows.drop("ChangesRatio"), "Ticker", "Date", "Close", "_change", "ChangesRatio")
-    return by_year(conform(out, BARS), "Date")
+def _home_days(rows: DataFrame, market: str) -> DataFrame:
+    """Home-calendar rule of the US panel."""
+    return R.split_orphan_dates(rows, "Ticker", "Date")[0] if market == "us" else rows
 
 
-def _with_year_before(stored: DataFrame, feed: DataFrame) -> DataFrame:
-    """Stored rows of the feed's years and of the year before, so the first change of a year has its predecessor."""
-    years = feed.select("year").distinct()
-    needed = years.unionByName(years.select((F.col("year") - 1).alias("year"))).distinct()
-    return stored.join(needed, "year", "left_semi").select(*stored.columns)
+def _with_ratio(rows: DataFrame) -> DataFrame:
+    """Percent change of every row to the entity's row before it."""
+    return O.with_changes(rows.drop("ChangesRatio"), "Ticker", "Date", "Close", "_change", "ChangesRatio")
+
+
+def _ends(rows: DataFrame) -> DataFrame:
+    """First and last bar of each entity and year; three columns of the table are enough."""
+    return rows.groupBy("Ticker", "year").agg(F.min("Date").alias("first"), F.max("Date").alias("last"),
+                                              F.max_by("Close", "Date").alias("last_close"))
+
+
+@dataclass(frozen=True)
+class Merge:
+    """A candidate with the stored rows of the same partitions and their values."""
+
+    candidate: DataFrame
+    current: DataFrame
+    years: list[int]
 
 
 def _merge_bars(
     lake: Lake, market: str, feed: DataFrame, replace: DataFrame | None = None, carry_caps: bool = False
-) -> DataFrame:
-    """Candidate rows for the years a feed touches.
+) -> Merge:
+    """Candidate rows for every year a merge changes.
 
-    Stored rows of ``replace`` are dropped first; their market caps survive only with ``carry_caps`` (a rebase),
-    not when they belonged to another instrument (a purge).
+    Those are the feed's years, the years that store a row of ``replace`` (dropped first; their market caps survive
+    only with ``carry_caps``, a rebase, not when they belonged to another instrument) and the years whose first change
+    has a new predecessor.  Only these years are read whole; of the others each entity's last bar, as predecessor.
     """
-    context = _with_year_before(lake.read(lake.bars(market)), feed)
+    stored = lake.read(lake.bars(market))
+    years = set(partition_values(feed, "year"))
+    if replace is not None:
+        years |= set(partition_values(M.only_entities(stored, replace, "Ticker"), "year"))
+    context = pruned(stored, "year", sorted(years))
     kept = context if replace is None else M.drop_entities(context, replace, "Ticker")
     filled = M.preserve_measure(context if carry_caps else kept, feed, ["Ticker", "Date"], "MarketCap")
-    finished = _finish_bars(M.merge_last(kept, filled, ["Ticker", "Date"]), market)
-    return touched(finished, feed, "year")
+    merged = materialise(by_year(conform(_home_days(M.merge_last(kept, filled, ["Ticker", "Date"]), market), BARS),
+                                 "Date"), "merged")
+
+    others = materialise(_ends(stored.where(~F.col("year").isin(*years)) if years else stored), "ends")
+    old, new = _ends(context), _ends(merged)
+    moved = old.select("Ticker", "year", "last", "last_close").exceptAll(
+        new.select("Ticker", "year", "last", "last_close")).unionByName(
+        new.select("Ticker", "year", "last", "last_close").exceptAll(
+            old.select("Ticker", "year", "last", "last_close"))).select("Ticker", F.col("year").alias("_y")).distinct()
+    after = moved.join(others, "Ticker").where(F.col("year") > F.col("_y")).groupBy("Ticker", "_y").agg(
+        F.min("year").alias("year"))
+    later = partition_values(after, "year")
+    rows = merged.unionByName(pruned(stored, "year", later).select(*merged.columns)).withColumn("_edge", F.lit(False))
+    edges = others.where(~F.col("year").isin(*later)) if later else others
+    edges = edges.select("Ticker", F.col("last").alias("Date"), F.col("last_close").alias("Close"), F.lit(True).alias("_edge"))
+    changed = _with_ratio(rows.unionByName(edges, allowMissingColumns=True)).where(~F.col("_edge"))
+    every = sorted(years | set(later))
+    return Merge(by_year(conform(changed, BARS), "Date"), pruned(stored, "year", every), every)
+
+
+def finalise_feed(raw: DataFrame, seq: str | None = None) -> tuple[DataFrame, list[tuple[str, DataFrame]], DataFrame]:
+    """(bars, gates, acted): provider rows in shape, what must hold for them, entities with a corporate action.
+
+    A row in which every provider column is missing is padding and goes first.  Of what is left the evidence of
+    dividends, splits and (where delivered) capital gains must be complete, every price a number, and each key
+    delivered once; with ``seq``, the arrival order, the last of repeated keys counts.
+    """
+    provider = [c for c in raw.columns if c not in ("Ticker", "Date", seq)]
+    rows = R.drop_empty_rows(raw, [f"`{c}`" for c in provider])
+    gains = "`Capital Gains`" if "Capital Gains" in raw.columns else None
+    actions = materialise(A.corporate_actions(rows, "Ticker", "Dividends", "`Stock Splits`" if "Stock Splits" in raw.columns
+                                              else "Splits", gains), "actions")
+    broken = R.nonfinite_rows(rows).unionByName(rows.where(R.all_missing(R.PRICES)))
+    if seq:
+        rows = M.dedup_feed(rows, ["Ticker", "Date"], [F.col(seq)])
+    repeated = A.duplicate_keys(rows, ["Ticker", "Date"])
+    shaped = conform(R.positive_close(rows).withColumn("Amount", F.col("Close") * F.col("Volume")).withColumn(
+        "Dividends", F.lit(0.0)).withColumn("Splits", F.lit(1.0)), BARS)
+    gates = [("actions", actions.agg(F.coalesce(F.bool_and("complete"), F.lit(True)).alias("ok"))),
+             ("price_values", _no_rows(broken)),
+             ("feed_keys", repeated.withColumn("ok", F.col("duplicate_rows") == 0))]
+    return by_year(shaped, "Date"), gates, actions.where("action").select("Ticker")
 
 
-def finalise_feed(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bars, broken): provider rows without padding and with derived columns; broken rows must be none."""
-    broken = R.nonfinite_rows(raw)
-    rows = R.positive_close(R.drop_empty_rows(raw))
-    shaped = conform(rows.withColumn("Amount", F.col("Close") * F.col("Volume")).withColumn(
-        "Dividends", F.lit(0.0)).withColumn("Splits", F.lit(1.0)), BARS)
-    return by_year(shaped, "Date"), broken
+def _basis_gate(market: str, stored: DataFrame, feed: DataFrame, acted: DataFrame, named: DataFrame | None = None,
+                today: Column | None = None) -> Gate:
+    """Stored closes must agree with the feed, but for entities that acted or are replaced, and, of crypto, the bars
+    not settled by ``today``.  One rule for every way of writing bars."""
+    exempt = acted if named is None else acted.unionByName(named.select("Ticker"))
+    unsettled = (F.current_date() if today is None else today) if market == "crypto" else None
+    return "price_basis", G.price_drift(touched(stored, feed, "year"), feed, "Ticker", "Date", exempt=exempt,
+                                        unsettled_as_of=unsettled)
 
 
 def _no_rows(rows: DataFrame) -> DataFrame:
@@ -123,6 +183,7 @@ def _listed(tickers: DataFrame, market: str, kind: str) -> DataFrame:
 def update_bars(
     lake: Lake, market: str, raw: DataFrame, universe: DataFrame, failed: DataFrame, today: Column,
     caps: DataFrame | None = None, overrides: DataFrame | None = None, limits: Limits = Limits(), apply: bool = True,
+    seq: str | None = None,
 ) -> DataFrame:
     """Incremental update of US or crypto bars.
 
@@ -134,11 +195,8 @@ def update_bars(
     table.create(lake.spark)
     lake.cursors().create(lake.spark)
     lake.pending().create(lake.spark)
-    actions = A.corporate_actions(raw, "Ticker", "Dividends", "`Stock Splits`" if "Stock Splits" in raw.columns else "Splits")
-    bars, broken = finalise_feed(raw)
-    G.require_all([
-        ("actions", actions.agg(F.coalesce(F.bool_and("complete"), F.lit(False)).alias("ok"))),
-        ("price_values", _no_rows(broken))])
+    bars, gates, acted = finalise_feed(raw, seq)
+    G.require_all(gates)
     feed = materialise(bars.withColumn("_cohort", _cohort(market)), "feed")
 
     state = lake.read(lake.cursors()).where(F.col("market") == market)
@@ -148,16 +206,14 @@ def update_bars(
     G.require("cursor", proof)
     dense = R.exclude_dates(feed.drop("_cohort"), CU.sparse_dates(feed, "Ticker", "Date"), "Date")
 
-    acted = actions.where("action").select("Ticker")
-    exempt = acted if overrides is None else acted.unionByName(overrides.select(F.col("ticker").alias("Ticker")))
+    named = None if overrides is None else overrides.select(F.col("ticker").alias("Ticker"))
     stored = lake.read(table)
-    G.require("price_basis", G.price_drift(touched(stored, dense, "year"), dense, "Ticker", "Date", exempt=exempt,
-                                           unsettled_as_of=today if market == "crypto" else None))
+    G.require(*_basis_gate(market, stored, dense, acted, named, today))
     if caps is not None:
         dense = (dense.drop("MarketCap").join(caps.select("Ticker", F.col("MarketCap").alias("_cap")), "Ticker", "left")
                  .withColumn("MarketCap", R.only_on(F.col("Date"), today, F.col("_cap"))).drop("_cap"))
-    current = touched(stored, dense, "year")
-    _save(_merge_bars(lake, market, dense), table, _bar_gates(current, table, limits), apply)
+    merge = _merge_bars(lake, market, dense)
+    _save(merge.candidate, table, _bar_gates(merge.current, table, limits), apply, merge.years)
     if apply:
         run = proof.select(
             F.lit(market).alias("market"), F.col("cursor").alias("last_updated"),
@@ -176,21 +232,22 @@ def _cohort(market: str) -> Column:
 
 def backfill_bars(
     lake: Lake, market: str, raw: DataFrame, failed: DataFrame, overrides: DataFrame | None = None,
-    limits: Limits = Limits(), apply: bool = True,
+    limits: Limits = Limits(), apply: bool = True, today: Column | None = None, seq: str | None = None,
 ) -> DataFrame:
-    """Backfill of whole years.  Rows of overridden symbols that did not fail are replaced, others merged."""
+    """Backfill of whole years.  Rows of overridden symbols that did not fail are replaced, in every year that stores
+    one, others merged."""
     from panelyard.operators.identity import purge_targets
     table = lake.bars(market)
     table.create(lake.spark)
     lake.pending().create(lake.spark)
-    bars, broken = finalise_feed(raw)
-    _refuse_rows("price_values", broken)
+    bars, gates, acted = finalise_feed(raw, seq)
+    G.require_all(gates)
     feed = materialise(bars, "feed")
     named = feed.select("Ticker").where(F.lit(False)) if overrides is None else purge_targets(
         overrides, failed.select(F.col("Ticker").alias("ticker"))).select(F.col("ticker").alias("Ticker"))
-    current = touched(lake.read(table), feed, "year")
-    G.require("price_basis", G.price_drift(current, feed, "Ticker", "Date", exempt=named))
-    _save(_merge_bars(lake, market, feed, named), table, _bar_gates(current, table, limits, named), apply)
+    G.require(*_basis_gate(market, lake.read(table), feed, acted, named, today))
+    merge = _merge_bars(lake, market, feed, named)
+    _save(merge.candidate, table, _bar_gates(merge.current, table, limits, named), apply, merge.years)
     if apply:
         lost, got = _listed(failed, market, "backfill"), _listed(feed.select("Ticker").distinct(), market, "backfill")
         _set_pending(lake, lost, got.join(lost, ["market", "kind", "ticker"], "left_anti"))
@@ -199,6 +256,7 @@ def backfill_bars(
 
 def backfill_new(
     lake: Lake, market: str, raw: DataFrame, universe: DataFrame, failed: DataFrame, limits: Limits = Limits(),
+    today: Column | None = None, seq: str | None = None,
 ) -> DataFrame:
     """History of entities that are new or still pending.
 
@@ -214,12 +272,13 @@ def backfill_new(
         universe, A.known_entities(stored, "Ticker"), waiting, "Ticker"), "candidates")
     intent = _listed(candidates, market, "backfill")
     _set_pending(lake, intent, intent.where(F.lit(False)))
-    bars, broken = finalise_feed(raw.join(candidates.select("Ticker"), "Ticker", "left_semi"))
-    _refuse_rows("price_values", broken)
+    bars, gates, acted = finalise_feed(raw.join(candidates.select("Ticker"), "Ticker", "left_semi"), seq)
+    G.require_all(gates)
     feed = materialise(bars, "feed")
-    current = touched(stored, feed, "year")
-    G.require("price_basis", G.price_drift(current, feed, "Ticker", "Date"))
-    _save(_merge_bars(lake, market, feed), table, _bar_gates(current, table, limits, only_dates=current))
+    G.require(*_basis_gate(market, stored, feed, acted, today=today))
+    merge = _merge_bars(lake, market, feed)
+    _save(merge.candidate, table, _bar_gates(merge.current, table, limits, only_dates=merge.current),
+          partitions=merge.years)
     _refuse_rows("backfill_incomplete", failed.join(candidates, "Ticker", "left_semi"))
     run = feed.agg(F.max("Date").alias("last_updated"), F.min("Date").alias("oldest_date")).select(
         F.lit(market).alias("market"), "last_updated",
@@ -232,7 +291,7 @@ def backfill_new(
 
 def rebase_bars(
     lake: Lake, market: str, raw: DataFrame, failed: DataFrame, limits: Limits = Limits(), apply: bool = True,
-    targets: DataFrame | None = None,
+    targets: DataFrame | None = None, seq: str | None = None,
 ) -> DataFrame:
     """Replace the full history of entities with corporate actions, entity by entity all or nothing.
 
@@ -241,15 +300,15 @@ def rebase_bars(
     table = lake.bars(market)
     lake.pending().create(lake.spark)
     named = lake.queue(market, "rebase") if targets is None else targets.select("Ticker")
-    bars, broken = finalise_feed(raw.join(named, "Ticker", "left_semi"))
-    _refuse_rows("price_values", broken)
+    bars, gates, _ = finalise_feed(raw.join(named, "Ticker", "left_semi"), seq)
+    G.require_all(gates)
     stored = lake.read(table)
     feed = materialise(bars.join(stored.select("year").distinct(), "year", "left_semi").select(*bars.columns), "feed")
     decision = materialise(G.rebase_safe(stored, feed, named, failed, "Ticker", F.year("Date")), "rebase")
     safe = decision.where("safe").select("Ticker")
     fresh = R.target_entities(feed, safe, "Ticker")
-    current = touched(stored, fresh, "year")
-    _save(_merge_bars(lake, market, fresh, safe, carry_caps=True), table, _bar_gates(current, table, limits, safe), apply)
+    merge = _merge_bars(lake, market, fresh, safe, carry_caps=True)
+    _save(merge.candidate, table, _bar_gates(merge.current, table, limits, safe), apply, merge.years)
     if apply:
         done = _listed(safe, market, "rebase")
         later = _listed(decision.where(~F.col("safe")), market, "rebase")
@@ -274,17 +333,17 @@ def save_kr_bars(
     table = lake.bars("kr")
     table.create(lake.spark)
     rows = by_year(conform(feed, KR_BARS, keep_extra=bool(seq)), "Date")
-    years = rows.select("year").distinct()
+    years = set(partition_values(rows, "year"))
     for gone in (drop_dates, drop_keys):
         if gone is not None:
-            years = years.unionByName(gone.select(F.year("Date").alias("year"))).distinct()
-    stored = lake.read(table)
-    current = M.delete_rows(touched(stored, years, "year"), drop_dates, drop_keys, "Date", ["Code", "Date"])
-    extra = stored.join(years.select((F.col("year") - 1).alias("year")), "year", "left_semi")
+            years |= set(partition_values(gone.select(F.year("Date").alias("year")), "year"))
+    stored, years = lake.read(table), sorted(years)
+    current = M.delete_rows(pruned(stored, "year", years), drop_dates, drop_keys, "Date", ["Code", "Date"])
+    extra = pruned(stored, "year", [y - 1 for y in years])
     policy = M.KR_POLICY_PRICES_ONLY if prices_only else M.KR_POLICY
     merged = M.merge_policy(current.drop("year"), rows.drop("year"), ["Code", "Date"], policy, seq)
     candidate = by_year(conform(merged, KR_BARS), "Date")
-    return _save(candidate, table, _kr_gates(current, table, rows.select("Date"), limits, extra), apply)
+    return _save(candidate, table, _kr_gates(current, table, rows.select("Date"), limits, extra), apply, years)
 
 
 def settle_kr(
@@ -533,11 +592,14 @@ def rewrite(lake: Lake, market: str, limits: Limits = Limits(), apply: bool = Tr
     """Pass every partition through the current rules; refused while a bad day remains.  Returns the report."""
     table = lake.bars(market)
     before = lake.read(table)
-    deduped = M.dedup_feed(before, ["Ticker", "Date"], [F.col("Date")])
-    after = _finish_bars(deduped, market)
+    years = partition_values(before, "year")
+    at = F.col("_metadata.file_modification_time"), F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    ordered = lake.spark.read.parquet(table.path).select("*", F.struct(*at).alias("_at"))
+    deduped = M.dedup_feed(ordered, ["Ticker", "Date"], [F.col("_at")]).drop("_at")    # the row written last stays
+    after = by_year(conform(_with_ratio(_home_days(deduped, market)), BARS), "Date")
     report = materialise(RP.rewrite_report(before, after, "Ticker", "Date"), "rewrite")
     G.require("rewrite", report)
-    _save(after, table, _bar_gates(before, table, limits), apply)
+    _save(after, table, _bar_gates(before, table, limits), apply, years)
     return report
 
 

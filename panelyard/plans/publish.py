@@ -14,12 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelyard.operators.gates import GateRefused, require_all
-from panelyard.operators.ordered import keep_newest
 from panelyard.session import scratch_path
 from panelyard.sources.readers import read_table
 
-LOG_LIMIT = 30
-
 
 @dataclass(frozen=True)
 class Table:
@@ -85,14 +82,29 @@ def promote(staged: DataFrame, table: Table) -> None:
         writer.parquet(table.path)
 
 
-def publish(candidate: DataFrame, table: Table, gates=()) -> DataFrame:
+def remove_partitions(spark: SparkSession, table: Table, values: Sequence) -> None:
+    """Delete whole partition folders, on whatever file system the table lives."""
+    context = spark.sparkContext
+    for value in values:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{table.path}/{table.partition}={value}")
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def publish(candidate: DataFrame, table: Table, gates=(), partitions: Sequence | None = None) -> DataFrame:
     """Stage, run the gates on the staged rows, promote.  ``gates`` are (name, staged -> verdict).
 
-    Any refusal leaves the table untouched.  Returns the staged rows.
+    ``partitions`` are the partition values the candidate stands for: one that has no row left is removed, and the
+    table is looked at again afterwards.  Any refusal leaves the table untouched.  Returns the staged rows.
     """
+    spark = candidate.sparkSession
     staged = stage(candidate, table)
     require_all([(name, gate(staged)) for name, gate in gates])
     promote(staged, table)
+    if partitions is not None:
+        emptied = sorted(set(partitions) - set(partition_values(staged, table.partition)))
+        remove_partitions(spark, table, emptied)
+        if emptied and pruned(table.read(spark), table.partition, emptied).limit(1).count():
+            raise GateRefused("emptied_partitions", {"partitions": str(emptied)})
     return staged
 
 
@@ -102,9 +114,19 @@ def preview(candidate: DataFrame, gates=()) -> DataFrame:
     return candidate
 
 
+def partition_values(rows: DataFrame, partition: str) -> list:
+    """The partition values of some rows: as many as the table has partitions, at most."""
+    return sorted(r[0] for r in rows.select(partition).distinct().collect() if r[0] is not None)
+
+
+def pruned(table: DataFrame, partition: str, values: Sequence) -> DataFrame:
+    """Stored rows of the named partitions; the filter is static, so other partitions' files are never listed."""
+    return table.where(F.col(partition).isin(*values) if values else F.lit(False))
+
+
 def touched(table: DataFrame, incoming: DataFrame, partition: str) -> DataFrame:
-    """Stored rows of the partitions a feed touches (dynamic pruning skips the rest)."""
-    return table.join(incoming.select(partition).distinct(), partition, "left_semi").select(*table.columns)
+    """Stored rows of the partitions a feed touches."""
+    return pruned(table, partition, partition_values(incoming, partition))
 
 
 def upsert_state(state: Table, rows: DataFrame) -> None:
@@ -112,10 +134,11 @@ def upsert_state(state: Table, rows: DataFrame) -> None:
     publish(rows, state)
 
 
-def append_log(log: DataFrame, entry: DataFrame, limit: int = LOG_LIMIT) -> DataFrame:
-    """Settlement log per year, the newest entries only.  An entry without changes is not logged."""
+def append_log(log: DataFrame, entry: DataFrame) -> DataFrame:
+    """Settlement log with one more entry; readers take the newest with ``keep_newest``.  An entry without changes is
+    not logged."""
     changes = F.col("rows_added") + F.col("rows_replaced") + F.coalesce("rows_dropped", F.lit(0))
-    return keep_newest(log.unionByName(entry.where(changes > 0), allowMissingColumns=True), ["year"], "at", limit)
+    return log.unionByName(entry.where(changes > 0), allowMissingColumns=True)
 
 
 def set_boundary(boundary: DataFrame, year: int, through: DataFrame) -> DataFrame:

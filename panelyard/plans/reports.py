@@ -43,7 +43,7 @@ def rewrite_report(before: DataFrame, after: DataFrame, entity: str, date: str)
     """Rows and refused days per year before and after a rewrite; ``ok`` when no refused day remains."""
 
     def counted(df: DataFrame, tag: str) -> DataFrame:
-        daily = coverage_continuity(df, entity, date).groupBy(F.year(date).alias("year")).agg(
+        daily = coverage_continuity(df.withColumn("year", F.year(date)), entity, date, by=["year"]).groupBy("year").agg(
             F.count_if(~F.col("ok")).alias(f"bad_{tag}"))
         rows = df.groupBy(F.year(date).alias("year")).agg(F.count(F.lit(1)).alias(f"rows_{tag}"))
         return rows.join(daily, "year")

@@ -12,8 +12,6 @@ from panelyard.functions.text import SNAPSHOT_CODE
 from panelyard.schemas import TAGS, conform
 
 # Limits and columns of the official yearly file.
-OFFICIAL_MAX_ROWS = 2_000_000
-OFFICIAL_REQUIRED = ("Code", "Date", "Open", "High", "Low", "Close", "Volume", "Amount", "Marcap", "Stocks", "MarketId")
 OFFICIAL_MEASURES = ("Open", "High", "Low", "Close", "Volume", "Amount", "Marcap", "Stocks")
 MARKET_IDS = ("STK", "KSQ", "KNX")
 TAG_TEXT = ("Sector", "Industry", "QuoteType")
@@ -124,9 +122,9 @@ def validate_official(
     df: DataFrame, code: str = "Code", date: str = "Date", market_id: str = "MarketId",
     measures: Sequence[str] = OFFICIAL_MEASURES, close: str = "Close", high: str = "High", low: str = "Low",
     volume: str = "Volume", markets: Sequence[str] = MARKET_IDS, code_pattern: str = SNAPSHOT_CODE,
-    max_rows: int = OFFICIAL_MAX_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
-    """Official yearly tables, one verdict row per year."""
+    """Official yearly tables, one verdict row per year.  ``max_rows`` refuses larger years; there is no limit else."""
     require_columns(df, [code, date, market_id, close, high, low, volume, *measures])
     broken = [(F.col(c).isNotNull() & (~finite(F.col(c)) | (F.col(c) < 0))).cast("int") for c in measures]
     verdict = validate_keys(df, [code, date], F.year(date), rules={
@@ -136,7 +134,7 @@ def validate_official(
         "no_close": F.col(close).isNull(),
         "crossed": (F.col(volume) > 0) & (F.col(high) < F.col(low)),
     })
-    return verdict.withColumn("ok", F.col("ok") & (F.col("rows") <= max_rows))
+    return verdict if max_rows is None else verdict.withColumn("ok", F.col("ok") & (F.col("rows") <= max_rows))
 
 
 def undated_rows(df: DataFrame, proof: DataFrame, date: str, source_date: str = "source_date") -> DataFrame:

@@ -26,6 +26,25 @@ def test_only_touched_partitions_are_replaced(spark, table):
     assert got == {(2024, "a"): 10, (2025, "b"): 3}
 
 
+def test_only_touched_files_are_read(spark, table):
+    for year in range(2016, 2026):
+        P.publish(frame(spark, year), table)
+    feed = frame(spark, 2021, 2)
+    rows = P.touched(table.read(spark), feed, "year")
+    assert rows.count() == 10
+    assert len(rows.inputFiles()) >= 1
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "= 2021" in plan
+    assert P.touched(table.read(spark), feed.where("false"), "year").count() == 0
+
+
+def test_emptied_partitions_are_removed(spark, table):
+    P.publish(frame(spark, 2024).unionByName(frame(spark, 2025)).unionByName(frame(spark, 2026)), table)
+    P.publish(frame(spark, 2025, 3, "b"), table, partitions=[2024, 2025])
+    got = {(r.year, r.v): r["count"] for r in table.read(spark).groupBy("year", "v").count().collect()}
+    assert got == {(2025, "b"): 3, (2026, "a"): 10}
+
+
 def test_refusal_keeps_old_rows(spark, table):
     P.publish(frame(spark, 2024), table)
     no = lambda rows: rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("ok", F.lit(False))
@@ -64,13 +83,13 @@ def test_merge_may_read_the_table_it_replaces(spark, table):
     assert table.read(spark).count() == 12
 
 
-def test_log_keeps_the_newest_entries(spark):
+def test_log_keeps_every_entry_that_changed_something(spark):
     cols = "year int, at timestamp, official_through date, rows_added long, rows_replaced long, rows_dropped long, first_date date, last_date date"
     import datetime as dt
     row = lambda day, n: (2026, dt.datetime(2026, 1, 1) + dt.timedelta(days=day), d("2026-01-01"), n, 0, 0, None, None)
     log = spark.createDataFrame([row(i, 1) for i in range(30)], cols)
     out = P.append_log(log, spark.createDataFrame([row(40, 2)], cols))
-    assert out.count() == 30 and out.agg(F.max("rows_added"), F.min("at")).first()[1].day == 2
+    assert out.count() == 31 and out.agg(F.max("rows_added"), F.min("at")).first()[1].day == 1
     assert P.append_log(log, spark.createDataFrame([row(41, 0)], cols)).agg(F.max("rows_added")).first()[0] == 1
 
 
