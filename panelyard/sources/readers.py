@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelyard.functions import strip_blank
+from panelyard.operators.merge import keep_one
 from panelyard.schemas import conform, missing_to_null
+from panelyard.session import materialise
 
 # Watch-list categories and the local symbols it must not contain; snapshot columns read as text.
 WATCH_CATEGORIES = ("미국", "ETF")
@@ -52,23 +55,39 @@ def inventory(df: DataFrame) -> DataFrame:
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Daily snapshot CSVs, one file per date named ``...YYYY-MM-DD.csv``.
+    """Daily snapshot CSVs, one file per date named ``...YYYY-MM-DD.csv``, each with its own header.
 
     Codes stay text; numbers that do not read are NULL; ``Date`` comes from the file name, ``own_date`` from the
-    file when it has one.
+    file when it has one.  A column that a file lacks is NULL in its rows.  Files are read by kind of header (there
+    are a few kinds, whatever the number of files), so values always stand under their own name.
     """
-    raw = spark.read.option("header", True).csv(path)
-    stamped = raw.withColumn("_file_date", F.to_date(F.regexp_extract(
-        F.col("_metadata.file_name"), r"(\d{4}-\d{2}-\d{2})", 1)))
-    columns = []
-    for c in raw.columns:
-        if c == "Date":
-            columns.append(F.try_to_date(F.col(c)).alias("own_date"))
-        elif c in SNAPSHOT_NUMBERS:
-            columns.append(F.col(c).try_cast("double").alias(c))
-        elif c and not c.startswith("_c"):
-            columns.append(F.col(c))
-    return stamped.select(*columns, F.col("_file_date").alias("Date"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("at"))
+    # the first line of a file is the first row of its first block
+    firsts = lines.where("at = 0").withColumn("row", F.monotonically_increasing_id()).groupBy("file").agg(
+        F.min_by("value", "row").alias("header"))
+    kinds = [r.header for r in firsts.select("header").distinct().collect() if r.header is not None]
+    firsts = materialise(firsts, "headers") if kinds else firsts
+    out = None
+    for header in sorted(kinds):
+        mine = lines.join(firsts.where(F.col("header") == header).select("file"), "file")
+        names = next(csv.reader([header.lstrip("\ufeff")]))
+        fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        cells = F.from_csv("value", ", ".join(f"{f.name} string" for f in fields))
+        rows = mine.where(F.col("value") != header).select(cells.alias("v"), F.to_date(F.regexp_extract(
+            "file", r"(\d{4}-\d{2}-\d{2})[^/]*$", 1)).alias("Date"))
+        columns = []
+        for i, c in enumerate(names):
+            cell = F.nullif(F.col(f"v.c{i}"), F.lit(""))
+            if c == "Date":
+                columns.append(F.try_to_date(cell).alias("own_date"))
+            elif c in SNAPSHOT_NUMBERS:
+                columns.append(cell.try_cast("double").alias(c))
+            elif c:
+                columns.append(cell.alias(c))
+        part = rows.select(*columns, "Date")
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return spark.createDataFrame([], "Code string, Date date") if out is None else out
 
 
 QUOTE = "struct<price:double,marketCap:double,percentChange24h:double,percentChange7d:double>"
@@ -79,11 +98,14 @@ def parse_listing(df: DataFrame, items: str = "items") -> DataFrame:
     """Nested listing entries -> flat rows.
 
     ``items`` is a JSON array of entries (text).  ``quotes`` may be a list (its first element counts) or a map
-    with key USD; both shapes are read and the one present wins.  Blank symbols are dropped.
+    with key USD; both shapes are read and the one present wins.  Blank symbols and entries without id are dropped; of a
+    symbol listed more than once in a response, or in several, the last entry counts (responses in the order of a
+    hash of their text, which reruns repeat).
     """
-    entry = F.explode(F.from_json(F.col(items), f"array<struct<{_typed(LISTING_ITEM)}>>"))
-    rows = df.select(entry.alias("i")).select("i.*")
-    return flatten_listing(rows)
+    entry = F.posexplode(F.from_json(F.col(items), f"array<struct<{_typed(LISTING_ITEM)}>>"))
+    rows = df.select(F.xxhash64(items).alias("response"), entry.alias("place", "i")).select("response", "place", "i.*")
+    listed = flatten_listing(rows).where(F.col("id").isNotNull())
+    return keep_one(listed, ["symbol"], [F.col("response").desc(), F.col("place").desc()]).drop("response", "place")
 
 
 def _typed(ddl: str) -> str:
@@ -98,7 +120,7 @@ def flatten_listing(rows: DataFrame) -> DataFrame:
     symbol = F.upper(strip_blank(F.coalesce("symbol", F.lit(""))))
     parsed = rows.withColumn("_q", F.when(is_list, listed).otherwise(F.when(~is_list, keyed)))
     return parsed.select(
-        symbol.alias("symbol"), "id", "name", F.col("circulatingSupply").alias("supply"),
+        *[c for c in ("response", "place") if c in rows.columns], symbol.alias("symbol"), "id", "name", F.col("circulatingSupply").alias("supply"),
         F.get("tags", F.lit(0)).alias("tag"), F.col("_q.price").alias("price"), F.col("_q.marketCap").alias("market_cap"),
         F.col("_q.percentChange24h").alias("change_24h"), F.col("_q.percentChange7d").alias("change_7d"),
     ).where(F.col("symbol") != "")

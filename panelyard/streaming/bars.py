@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelyard.operators.merge import keep_one
@@ -41,20 +41,29 @@ def daily_bars(events: DataFrame, entity: str, time: str, value: str, delay: str
              "high", "low", "close", "volume", "amount")
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], label: str, mode: str = "update") -> None:
-    """Process everything available now, then stop.  Progress is kept in the shared folder."""
+def run_available(
+    stream: DataFrame, sink: Callable[[DataFrame, int], None], label: str, mode: str = "update",
+    checkpoint: str | None = None,
+) -> int:
+    """Process everything available now, then stop; returns the rows a watermark dropped as too late.
+
+    ``checkpoint`` is the folder (shared storage) that keeps the progress: a later run with the same folder goes on
+    where this one stopped.  Without it the run starts anew.  Dropped rows are counted, not stored: the batch path
+    takes them.
+    """
     spark = stream.sparkSession
     query = (stream.writeStream.outputMode(mode).foreachBatch(sink)
-             .option("checkpointLocation", scratch_path(spark, f"{label}-progress"))
+             .option("checkpointLocation", checkpoint or scratch_path(spark, f"{label}-progress"))
              .trigger(availableNow=True).start())
     query.awaitTermination()
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
 
 
-def collect_updates(bars: DataFrame, label: str = "bars") -> DataFrame:
+def collect_updates(bars: DataFrame, label: str = "bars", days: int = 7) -> DataFrame:
     """Run a bar stream in update mode into a table; the newest version of each bar counts.
 
     Each micro-batch writes its own partition with overwrite, so a repeated batch replaces itself.
-    ``final`` marks bars whose day ended before the watermark-sized look-back behind the newest bar.
+    ``final`` marks bars whose day ended before the look-back of ``days`` (the delay of the stream) behind the newest.
     """
     spark = bars.sparkSession
     path = scratch_path(spark, label)
@@ -66,9 +75,48 @@ def collect_updates(bars: DataFrame, label: str = "bars") -> DataFrame:
     versions = spark.read.parquet(path)
     newest = keep_one(versions, ["entity", "day"], [F.col("batch").desc()]).drop("batch")
     edge = versions.agg(F.max("day")).scalar()
-    return newest.withColumn("final", F.col("day") < F.date_sub(edge, 7))
+    return newest.withColumn("final", F.col("day") < F.date_sub(edge, days))
+
+
+# ---- bars from batches that share days
+
+_EXACT = "decimal(38,4)"
+
+
+def bar_parts(events: DataFrame, entity: str, time: str, value: str) -> DataFrame:
+    """What one batch knows of each bar, in a form that combines: open and close keep their times."""
+    return events.groupBy(F.col(entity).alias("entity"), F.to_date(time).alias("day")).agg(
+        F.min(time).alias("opened"), F.min_by(value, time).alias("open"), F.max(value).alias("high"),
+        F.min(value).alias("low"), F.max(time).alias("closed"), F.max_by(value, time).alias("close"),
+        F.count(F.lit(1)).alias("volume"), F.sum(F.col(value).cast("decimal(18,4)")).cast(_EXACT).alias("amount"))
+
+
+def combine_parts(parts: DataFrame) -> DataFrame:
+    """Whole bars from the parts of all batches."""
+    return parts.groupBy("entity", "day").agg(
+        F.min_by("open", "opened").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "closed").alias("close"), F.sum("volume").alias("volume"),
+        F.sum("amount").cast("double").alias("amount"))
+
+
+def upsert_stream(
+    events: DataFrame, parts_path: str, by: Column, entity: str, time: str, value: str,
+    publish: Callable[[DataFrame], None], label: str = "upsert", checkpoint: str | None = None,
+) -> None:
+    """Bars of a stream of events, published batch by batch; a day may be spread over any number of batches.
+
+    Each batch writes its parts below ``parts_path``, in a folder of its own that a repeated batch overwrites, split
+    by ``by`` (an expression over ``day``, the partition of the target, named ``part``).  Then the whole bars of the
+    partitions it touched are combined from all parts of those partitions and given to ``publish``.
+    """
+    spark = events.sparkSession
 
+    def merge(batch: DataFrame, number: int) -> None:
+        own = f"{parts_path}/batch={number}"
+        bar_parts(batch, entity, time, value).withColumn("part", by).write.mode("overwrite").partitionBy(
+            "part").parquet(own)
+        touched = [r[0] for r in spark.read.option("basePath", parts_path).parquet(own).select("part").distinct().collect()]
+        if touched:
+            publish(combine_parts(spark.read.parquet(parts_path).where(F.col("part").isin(*touched))))
 
-def upsert_stream(stream: DataFrame, merge: Callable[[DataFrame], None], label: str = "upsert") -> None:
-    """Feed each micro-batch to a prepare -> gate -> publish function of the batch API."""
-    run_available(stream, lambda batch, _: merge(batch), label, mode="append")
+    run_available(events, merge, label, mode="append", checkpoint=checkpoint)

@@ -9,7 +9,7 @@ from panelyard.operators import merge as M
 from panelyard.plans import publish as P
 from panelyard.session import scratch_path
 from panelyard.streaming import bars as S
-from panelyard.workload.base import KEYS, query, to_bars
+from panelyard.workload.base import KEYS, query, table
 from panelyard.workload.publication import _BARS
 
 
@@ -47,15 +47,22 @@ def stream_dedup(spark, sf):
 SELECT entity, day, open, high, low, close, volume, amount, CAST(week(day) AS INTEGER) AS week FROM bars
 """, ("bars",))
 def stream_upsert(spark, sf):
-    """Micro-batches of events turned into bars and upserted through merge, gate and publication."""
+    """Events landed in six files that cut across days, one file a batch, upserted through merge, gate and publication;
+    the stream stops after half of them and goes on from its checkpoint."""
     target = P.Table(scratch_path(spark, "upserted"), _BARS, KEYS, "week")
     target.create(spark)
+    events, landed = table(spark, sf, "events"), scratch_path(spark, "landed")
+    parts, progress = scratch_path(spark, "parts"), scratch_path(spark, "upsert-progress")
 
-    def merge(batch):
-        feed = to_bars(batch).select("*", F.weekofyear("day").alias("week"))
+    def publish(whole):
+        feed = whole.select("*", F.weekofyear("day").alias("week"))
         current = P.touched(target.read(spark), feed, "week")
         merged = M.merge_last(current, feed, KEYS)
         P.publish(merged, target, [("shrink", lambda staged: G.shrink_guard(current, staged, "entity", ["week"]))])
 
-    S.upsert_stream(S.open_events(spark, sf, "events.parquet", "ts"), merge)
+    for half in (0, 1):
+        some = events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+        some.repartition(3).write.mode("append").parquet(landed)
+        S.upsert_stream(S.open_events(spark, landed, "*.parquet", "ts", files_per_batch=1), parts, F.weekofyear("day"),
+                        "user_id", "ts", "value", publish, checkpoint=progress)
     return target.read(spark)

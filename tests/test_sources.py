@@ -47,6 +47,21 @@ def test_snapshot_csv(spark, tmp_path):
     assert (bad.bad_code, bad.bad_market, bad.bad_date, bad.ok) == (1, 1, 1, False)
 
 
+def test_snapshot_files_keep_their_own_header(spark, tmp_path):
+    (tmp_path / "2026-09-22.csv").write_text('Code,Name,Close,MarketId\n000010,"A, B",100,STK\n')
+    (tmp_path / "2026-09-23.csv").write_text("MarketId,Close,Code,Marcap\nKSQ,1.5,000020,7\n,,000030,\n")
+    got = {r.Code: r for r in S.read_snapshots(spark, str(tmp_path)).collect()}
+    assert (got["000010"].Name, got["000010"].Close, got["000010"].MarketId, got["000010"].Marcap) == ("A, B", 100.0, "STK", None)
+    assert (got["000020"].Name, got["000020"].Close, got["000020"].MarketId, got["000020"].Marcap) == (None, 1.5, "KSQ", 7.0)
+    assert got["000030"].MarketId is None and got["000030"].Date == d("2026-09-23")
+
+
+def test_repeated_symbols_keep_the_last_entry(spark):
+    entries = [{"symbol": "abc", "id": 1, "quotes": []}, {"symbol": "ABC ", "id": 2, "quotes": []}, {"symbol": "abc", "quotes": []}]
+    rows = S.parse_listing(spark.createDataFrame([(json.dumps(entries),)], "items string")).collect()
+    assert [(r.symbol, r.id) for r in rows] == [("ABC", 2)]
+
+
 def test_listing_json_both_shapes(spark, tmp_path):
     quote = {"price": 1.5, "marketCap": 9.0, "percentChange24h": 2.0, "percentChange7d": 3.0}
     entries = [{"symbol": " btc", "id": 1, "name": "Bitcoin", "circulatingSupply": 5.0, "tags": ["mineable", "pow"], "quotes": [quote]},
@@ -56,7 +71,7 @@ def test_listing_json_both_shapes(spark, tmp_path):
     (tmp_path / "b.json").write_text(json.dumps({"data": entries[:1]}, indent=1))
     rows = S.read_listing(spark, str(tmp_path)).collect()
     assert sorted((r.symbol, r.id, r.price, r.tag) for r in rows) == [
-        ("BTC", 1, 1.5, "mineable"), ("BTC", 1, 1.5, "mineable"), ("ETH", 2, 1.5, None)]
+        ("BTC", 1, 1.5, "mineable"), ("ETH", 2, 1.5, None)]
 
 
 def test_ticker_and_watch_lists(spark, tmp_path):
