@@ -29,7 +29,10 @@ from panelyard.plans.publish import (
 )
 from panelyard.schemas import BARS, FINANCIALS, KR_BARS, RATIOS, TAGS, conform
 from panelyard.session import materialise
-from panelyard.sources.checks import infinity_to_null, validate_fundamentals, validate_keys, validate_tags
+from panelyard.sources.checks import (
+    infinity_to_null, undated_rows, validate_fundamentals, validate_keys, validate_official, validate_snapshot,
+    validate_tags,
+)
 
 Gate = tuple[str, Callable[[DataFrame], DataFrame]]
 
@@ -363,8 +366,11 @@ def settle_kr(
     for t in (table, lake.boundary(), lake.settlement_log()):
         t.create(spark)
     source = materialise(conform(official.where(F.year("Date") == year), KR_BARS), "official")
+    G.require("official_rows", validate_official(source))
     held = lake.read(table).where(F.col("year") == year).drop("year")
     if drop_dates is not None:
+        if status is None:
+            raise G.GateRefused("closed_session", {"reason": "no calendar given for the dates to drop"})
         G.require("closed_session", G.closed_copies(held, source, drop_dates, status, "Code", "Date"))
     if drop_keys is not None:
         G.require("prelisting_row", G.prelisting_rows(held, source, drop_keys, "Code", "Date"))
@@ -420,11 +426,13 @@ def settle_kr_years(lake: Lake, official: DataFrame, years: Sequence[int], floor
 def kr_daily(
     lake: Lake, today: str, status: DataFrame, snapshot: DataFrame | None, archive: DataFrame, secondary: DataFrame,
     official: DataFrame | None = None, floor: Column | None = None, limits: Limits = Limits(),
+    proof: DataFrame | None = None,
 ) -> DataFrame:
     """One KR day: fill missed sessions, save today's snapshot with supplements, settle, report.
 
     ``archive`` holds past snapshots, ``secondary`` candidate rows of the second provider (any dates), ``snapshot``
-    today's rows or None when the source failed.  Returns the calendar status on a closed day.
+    today's rows or None when the source failed, ``proof`` (source_date) the date its source declared; with it the
+    snapshot must carry that date, and codes and markets of a snapshot must be of the known forms.  Returns the calendar status on a closed day.
     """
     spark, day = lake.spark, F.lit(today).cast("date")
     session = status.where(F.col("date") == day)
@@ -457,6 +465,11 @@ def kr_daily(
 
     fallback = snapshot is None or not snapshot.limit(1).count()
     current = secondary.where(F.col("Date") == day)
+    if not fallback:
+        checks = [("snapshot", validate_snapshot(snapshot, "Code", "MarketId", F.col("Date")))]
+        if proof is not None:
+            checks.append(("source_date", undated_rows(snapshot, proof, "Date")))
+        G.require_all(checks)
     if fallback:
         rows = _verified(secondary, reference(), current)
     else:
@@ -489,9 +502,12 @@ def _verified(candidate: DataFrame, reference: DataFrame, wanted: DataFrame) ->
 
 def kr_backfill(
     lake: Lake, candidate: DataFrame, start: Column, end: Column, keep_from: Column | None = None,
-    limits: Limits = Limits(),
+    limits: Limits = Limits(), official: DataFrame | None = None, floor: Column | None = None,
 ) -> DataFrame:
-    """Past KR bars of the second provider, kept for entities that agree with stored closes.  Returns evidence."""
+    """Past KR bars of the second provider, kept for entities that agree with stored closes.
+
+    With ``official`` the years written are settled afterwards.  Returns evidence.
+    """
     table = lake.bars("kr")
     table.create(lake.spark)
     derived = O.with_changes(candidate.drop("Changes", "ChangesRatio"), "Code", "Date", "Close", "Changes",
@@ -501,6 +517,9 @@ def kr_backfill(
     kept = G.accepted_rows(rows, states, "Code", "Date", start if keep_from is None else keep_from)
     _refuse_rows("dates_outside_request", R.outside_range(kept, "Date", start, end))
     save_kr_bars(lake, kept, prices_only=True, limits=limits)
+    if official is not None:
+        years = partition_values(kept.select(F.year("Date").alias("year")), "year")
+        settle_kr_years(lake, official, years, floor, limits=limits)
     return G.evidence(states)
 
 
