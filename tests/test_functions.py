@@ -12,30 +12,36 @@ def column(spark, values, expr, kind="string"):
 
 
 @pytest.mark.parametrize("raw, expected", [
-    ("U-UN.TO", "U-UN.TO"), ("BRK.B", "BRK-B"), ("$AAPL", "AAPL"), (" aapl ", "AAPL"), ("ABC.DEFG", "ABC-DEFG"),
-    ("A.B.TO", "A-B.TO"), ("AB#C!", "ABC"), ("7203.T", "7203.T"), ("VOD.L", "VOD.L"), ("0700.HK", "0700.HK"),
+    # two-letter exchange, single-letter exchange, digits before an exchange
+    ("ZQ-PR.TO", "ZQ-PR.TO"), ("QWX.L", "QWX.L"), ("4418.T", "4418.T"), ("1933.HK", "1933.HK"),
+    # class share, suffix too long for an exchange, inner dot before an exchange
+    ("KLM.C", "KLM-C"), ("QWX.STUV", "QWX-STUV"), ("K.M.TO", "K-M.TO"),
+    # stray characters, blanks and case
+    ("$QWX", "QWX"), ("\tqwx  ", "QWX"), ("Q?W*X", "QWX"),
 ])
 def test_normalise_ticker(spark, raw, expected):
     assert column(spark, [raw], X.normalise_ticker) == [expected]
 
 
 def test_tick_size_bands(spark):
-    prices = [1500.0, 3000.0, 15000.0, 30000.0, 85000.0, 300000.0, 700000.0, 2000.0, 500000.0]
-    assert column(spark, prices, X.tick_size, "double") == [1, 5, 10, 50, 100, 500, 1000, 5, 1000]
+    bands = [(1, 2_000), (5, 5_000), (10, 20_000), (50, 50_000), (100, 200_000), (500, 500_000)]
+    prices = [p for _, end in bands for p in (end - 1.0, float(end))]
+    ticks = [t for t, _ in bands] + [1000]
+    assert column(spark, prices, X.tick_size, "double") == [ticks[i] for n in range(6) for i in (n, n + 1)]
 
 
 def test_parse_amount(spark):
-    values = ["1,000", " 200 ", "-30", "", "-", None, "abc", "NaN", "1d", "1e3"]
-    assert column(spark, values, X.parse_amount) == [1000.0, 200.0, -30.0, None, None, None, None, None, None, 1000.0]
+    values = ["7,654,321", "  48", "-9.5 ", "", "-", None, "seven", "NaN", "4f", "25e1"]
+    assert column(spark, values, X.parse_amount) == [7654321.0, 48.0, -9.5, None, None, None, None, None, None, 250.0]
 
 
 def test_loose_number(spark):
-    assert column(spark, ["1,234원", "-5.5%", "", None, "1.2.3", "n/a"], X.loose_number) == [
-        1234.0, -5.5, None, None, None, None]
+    assert column(spark, ["86,420주", "-0.75%", "", None, "9.8.7", "none"], X.loose_number) == [
+        86420.0, -0.75, None, None, None, None]
 
 
 def test_zero_fill_does_not_cut(spark):
-    assert column(spark, ["660", "005930", "1234567"], X.zero_fill) == ["000660", "005930", "1234567"]
+    assert column(spark, ["42", "031415", "2718281"], X.zero_fill) == ["000042", "031415", "2718281"]
 
 
 def test_finite(spark):
@@ -81,10 +87,10 @@ def test_per_share(spark):
 def test_code_maps(spark):
     assert column(spark, ["STK", "KSQ", "KNX", "??"], R.market_name) == ["KOSPI", "KOSDAQ", "KONEX", None]
     assert column(spark, ["KOSDAQ GLOBAL", "nowhere"], R.market_id) == ["KSQ", "STK"]
-    assert column(spark, ["KOSPI", "KONEX", None], lambda c: R.quote_symbol(F.lit("005930"), c)) == [
-        "005930.KS", "005930.KQ", "005930.KS"]
+    assert column(spark, ["KOSPI", "KONEX", None], lambda c: R.quote_symbol(F.lit("031415"), c)) == [
+        "031415.KS", "031415.KQ", "031415.KS"]
 
 
 def test_quote_symbols(spark):
-    assert column(spark, ["btc-usd", " ETH-USDT"], X.strip_quote) == ["BTC", "ETH"]
-    assert column(spark, ["ARB"], lambda c: X.id_symbol(c, F.lit(11841))) == ["ARB11841-USD"]
+    assert column(spark, ["zed-usd", " QOO-USDT"], X.strip_quote) == ["ZED", "QOO"]
+    assert column(spark, ["ZED"], lambda c: X.id_symbol(c, F.lit(4077))) == ["ZED4077-USD"]
