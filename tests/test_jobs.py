@@ -290,3 +290,70 @@ def test_audits_and_rewrite(spark, lake):
     J.save_kr_bars(lake, kr(spark, [DAYS[0], DAYS[2]]), limits=LIM)
     years, gaps = J.audit_kr(lake, F.lit(DAYS[2].isoformat()).cast("date"))
     assert years.first().gaps == 1 and gaps.first().gap_start == DAYS[1]
+
+
+def years_of(spark, spans, close=10.0):
+    return raw(spark, {t: [x for y in years for x in weekdays(f"{y}-06-01", 3)] for t, years in spans.items()}, close)
+
+
+def test_each_year_is_judged_by_itself(spark, lake):
+    spans = {f"A{i}": [2015] for i in range(30)} | {f"B{i}": [2015, 2016] for i in range(10)}
+    J.backfill_bars(lake, "us", years_of(spark, spans), nobody(spark), limits=J.Limits(min_universe=5))
+    assert lake.read(lake.bars("us")).groupBy("year").count().count() == 2
+
+
+def test_purge_reaches_years_without_new_rows(spark, lake):
+    J.backfill_bars(lake, "us", years_of(spark, {"X": [2021, 2023], "Y": [2023]}), nobody(spark), limits=LOOSE)
+    named = spark.createDataFrame([("X", "X1")], "ticker string, symbol string")
+    fresh = years_of(spark, {"X": [2023]}, close=99.0)
+    J.backfill_bars(lake, "us", fresh, nobody(spark), named, J.Limits(min_universe=1000, allow_shrink=True))
+    got = {(r.Ticker, r.year, r.Close) for r in lake.read(lake.bars("us")).collect()}
+    assert got == {("X", 2023, 99.0), ("Y", 2023, 10.0)}
+
+
+def test_changes_follow_the_true_predecessor(spark, lake):
+    def put(day, close):
+        J.backfill_bars(lake, "us", raw(spark, {"X": [d(day)]}, close), nobody(spark), limits=LOOSE)
+
+    def ratio(day):
+        return lake.read(lake.bars("us")).where(F.col("Date") == d(day)).first().ChangesRatio
+
+    put("2020-05-04", 10.0)
+    put("2024-01-02", 20.0)
+    assert ratio("2024-01-02") == pytest.approx(100.0)         # years lie between
+    put("2023-12-29", 40.0)
+    assert ratio("2023-12-29") == pytest.approx(300.0) and ratio("2024-01-02") == pytest.approx(-50.0)
+
+
+def test_padding_gains_and_repeated_keys(spark, lake):
+    day = d("2025-03-03")
+    cols = RAW + ", `Capital Gains` double"
+    good = ("G", day, 1.0, 1.0, 1.0, 1.0, 1.0, 0.0, 0.0, 2.0)
+    padding = ("P", day) + (None,) * 8
+    _, gates, acted = J.finalise_feed(spark.createDataFrame([good, padding], cols))
+    assert all(g.first().ok for _, g in gates) and [r.Ticker for r in acted.collect()] == ["G"]
+    bare = ("B", day) + (None,) * 5 + (0.5, 0.0, 0.0)          # a dividend without prices is no padding
+    verdicts = {n: g.first().ok for n, g in J.finalise_feed(spark.createDataFrame([good, bare], cols))[1]}
+    assert verdicts == {"actions": True, "price_values": False, "feed_keys": True}
+    twice = spark.createDataFrame([good + (1,), good[:5] + (7.0,) + good[6:] + (2,)], cols + ", seq long")
+    assert not dict(J.finalise_feed(twice.drop("seq"))[1])["feed_keys"].first().ok
+    bars, gates, _ = J.finalise_feed(twice, "seq")
+    assert dict(gates)["feed_keys"].first().ok and bars.first().Close == 7.0
+
+
+def test_history_of_entities_with_actions_may_differ(spark, lake):
+    days = weekdays("2025-03-03", 3)
+    J.backfill_bars(lake, "us", raw(spark, {"X": days}, 10.0), nobody(spark), limits=LOOSE)
+    with pytest.raises(GateRefused):
+        J.backfill_bars(lake, "us", raw(spark, {"X": days}, 8.0), nobody(spark), limits=LOOSE)
+    J.backfill_bars(lake, "us", raw(spark, {"X": days}, 8.0, dividends=1.0), nobody(spark), limits=LOOSE)
+    assert {r.Close for r in lake.read(lake.bars("us")).collect()} == {8.0}
+
+
+def test_rewrite_keeps_the_row_written_last(spark, lake):
+    table = lake.bars("us")
+    for close in (1.0, 2.0, 3.0):
+        bars = J.finalise_feed(raw(spark, {"X": [d("2025-03-03")]}, close))[0]
+        bars.coalesce(1).write.mode("append").partitionBy("year").parquet(table.path)
+    J.rewrite(lake, "us", LOOSE)
+    assert [r.Close for r in lake.read(table).collect()] == [3.0]
