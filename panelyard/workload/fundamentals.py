@@ -140,15 +140,32 @@ def target_quarters(spark, sf):
 
 
 @query("verify_universe", """
-SELECT 'live' AS use, DATE '2024-01-25' AS stored_date, max(CAST(ts AS DATE)) AS observed_date, true AS ok FROM events
+WITH d AS (SELECT max(CAST(ts AS DATE)) AS o, max(CAST(ts AS DATE)) FILTER (CAST(ts AS DATE) <= DATE '2024-01-25') AS s FROM events)
+SELECT 'newer' AS "case", 'live' AS use, s AS stored_date, o AS observed_date, true AS ok FROM d
+UNION ALL SELECT 'same', 'stored', o, o, true FROM d
+UNION ALL SELECT 'no caps, no session', 'stored', s, o, true FROM d
+UNION ALL SELECT 'no caps, sessions', 'refused', s, o, false FROM d
+UNION ALL SELECT 'older', 'refused', o, s, false FROM d
+UNION ALL SELECT 'other year', 'refused', s, o, false FROM d
 """)
 def verify_universe(spark, sf):
-    """Stored universe of 25 January against a live snapshot of the last event day."""
+    """Stored universe and live snapshot of two event days, in every branch of the rule."""
     days = table(spark, sf, "events").select(F.to_date("ts").alias("d"))
-    held = days.where(F.col("d") <= day("2024-01-25")).agg(F.max("d").alias("source_date"),
-                                                           F.max("d").alias("latest_known_date"))
-    live = days.agg(F.max("d").alias("source_date"), F.max("d").alias("observed_date"))
-    return FU.verify_universe(held, live, F.lit(3), day("2024-01-31"))
+    last = days.agg(F.max("d").alias("source_date"))
+    before = days.where(F.col("d") <= day("2024-01-25")).agg(F.max("d").alias("source_date"))
+    held = lambda rows: rows.withColumn("latest_known_date", F.col("source_date"))
+    live = lambda rows: rows.withColumn("observed_date", F.col("source_date"))
+    bare = live(last).withColumn("source_date", F.lit(None).cast("date"))
+    cases = {
+        "newer": (held(before), live(last), 3, "2024-01-31"), "same": (held(last), live(last), 3, "2024-01-31"),
+        "no caps, no session": (held(before), bare, 0, "2024-01-31"), "no caps, sessions": (held(before), bare, 2, "2024-01-31"),
+        "older": (held(last), live(before), 3, "2024-01-31"), "other year": (held(before), live(last), 3, "2025-01-31"),
+    }
+    out = None
+    for name, (stored, seen, between, snap) in cases.items():
+        part = FU.verify_universe(stored, seen, F.lit(between), day(snap)).select(F.lit(name).alias("case"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("ratio_snapshot", """

@@ -152,7 +152,7 @@ def price_drift(spark, sf):
 _STATES = """
 WITH cand AS (SELECT s.entity, s.day, s.close + CASE i.region WHEN 'AFRICA' THEN 1.5 WHEN 'ASIA' THEN 1.0 ELSE 0 END
                      AS close
-              FROM stored s JOIN instruments i ON i.entity = s.entity),
+              FROM bars s JOIN instruments i ON i.entity = s.entity),
      o AS (SELECT c.entity, bool_and(abs(c.close - r.close) <= 1 + 1e-6) AS agrees, count(*) AS n
            FROM cand c JOIN official r ON r.entity = c.entity AND r.day = c.day GROUP BY 1),
      states AS (SELECT c.entity, CAST(coalesce(o.n, 0) AS BIGINT) AS overlap,
@@ -163,7 +163,7 @@ WITH cand AS (SELECT s.entity, s.day, s.close + CASE i.region WHEN 'AFRICA' THEN
 
 def _candidate(spark, sf):
     shift = F.when(F.col("region") == "AFRICA", 1.5).when(F.col("region") == "ASIA", 1.0).otherwise(0.0)
-    return stored(spark, sf).join(_regions(spark, sf), "entity").withColumn(
+    return bars(spark, sf).join(_regions(spark, sf), "entity").withColumn(
         "close", F.col("close") + shift).drop("region")
 
 
@@ -171,7 +171,7 @@ def _states(spark, sf):
     return G.verify_entities(_candidate(spark, sf), official(spark, sf), "entity", "day", "close")
 
 
-@query("verify_reference", _STATES + "SELECT * FROM states", ("stored", "official", "instruments"))
+@query("verify_reference", _STATES + "SELECT * FROM states", ("official", "instruments"))
 def verify_reference(spark, sf):
     return _states(spark, sf)
 
@@ -179,7 +179,7 @@ def verify_reference(spark, sf):
 @query("verified_rows", _STATES + """
 SELECT c.entity, c.day, c.close FROM cand c JOIN states s ON s.entity = c.entity
 WHERE s.state = 'verified' AND c.day >= DATE '2024-01-10'
-""", ("stored", "official", "instruments"))
+""", ("official", "instruments"))
 def verified_rows(spark, sf):
     rows = G.accepted_rows(_candidate(spark, sf), _states(spark, sf), "entity", "day", day("2024-01-10"))
     return rows.select("entity", "day", "close")
@@ -189,7 +189,7 @@ def verified_rows(spark, sf):
 SELECT CAST(count(*) FILTER (state = 'verified') AS BIGINT) AS verified,
        CAST(count(*) FILTER (state = 'rejected') AS BIGINT) AS rejected,
        CAST(count(*) FILTER (state = 'unmatched') AS BIGINT) AS unmatched FROM states
-""", ("stored", "official", "instruments"))
+""", ("official", "instruments"))
 def verification_evidence(spark, sf):
     return G.evidence(_states(spark, sf))
 

@@ -99,17 +99,20 @@ def settlement_log(spark, sf):
 @query("rewrite_report", """
 WITH b AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n FROM lineitem GROUP BY 1),
      d AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate FROM lineitem),
-     a AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n, count(DISTINCT l_partkey) AS e, max(l_shipdate) AS m FROM d GROUP BY 1)
-SELECT b.year, CAST(b.n AS BIGINT) AS rows_before, CAST(a.n AS BIGINT) AS rows_after, CAST(a.e AS BIGINT) AS entities, CAST(a.m AS DATE) AS last_date
-FROM b JOIN a ON a.year = b.year
+     a AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n, count(DISTINCT l_partkey) AS e, max(l_shipdate) AS m FROM d GROUP BY 1),
+     c AS (SELECT CAST(l_shipdate AS DATE) AS day, count(DISTINCT l_partkey) AS n FROM lineitem GROUP BY 1),
+     p AS (SELECT CAST(year(day) AS INTEGER) AS year, n, lag(n) OVER (PARTITION BY year(day) ORDER BY day) AS n_prev FROM c),
+     bad AS (SELECT year, CAST(count(*) FILTER (n_prev >= 100 AND (n - n_prev) * 100.0 / n_prev <= -10) AS BIGINT) AS bad FROM p GROUP BY 1)
+SELECT b.year, CAST(b.n AS BIGINT) AS rows_before, CAST(a.n AS BIGINT) AS rows_after, CAST(a.e AS BIGINT) AS entities, CAST(a.m AS DATE) AS last_date,
+       bad AS bad_before, bad AS bad_after, bad = 0 AS ok
+FROM b JOIN a ON a.year = b.year JOIN bad ON bad.year = b.year
 """)
 def rewrite_report(spark, sf):
     """Every partition passed through the current rules, counted before and after."""
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "day"]
     before = table(spark, sf, "lineitem").withColumn("day", F.to_date("l_shipdate")).select(*keys)
     after = before.dropDuplicates(keys)
-    out = RP.rewrite_report(before, after, "l_partkey", "day")
-    return out.select("year", "rows_before", "rows_after", "entities", "last_date")
+    return RP.rewrite_report(before, after, "l_partkey", "day")
 
 
 @query("coverage_metrics", """
