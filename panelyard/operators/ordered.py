@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelyard.functions import finite, is_common_stock, month_end_weekday, zero_fill
@@ -209,8 +209,3 @@ def market_tag(symbols: DataFrame, membership: DataFrame, symbol: str, normalise
             .groupBy("_s").agg(F.min_by("tag", "priority").alias("tag")))
     return (symbols.withColumn("_s", normalise(F.col(symbol))).join(best, "_s", "left")
             .withColumn("tag", F.coalesce("tag", F.lit("US"))).drop("_s"))
-
-
-def not_null_rank(measure: Column, w) -> Column:
-    """Plain window rank with NULL for missing measures, for groups known to be small."""
-    return F.when(measure.isNotNull(), F.rank().over(w))

@@ -6,13 +6,13 @@ import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelyard.functions import strip_blank
 from panelyard.operators.merge import keep_one
-from panelyard.schemas import conform, missing_to_null
+from panelyard.schemas import missing_to_null
 from panelyard.session import materialise
 
 # Watch-list categories and the local symbols it must not contain; snapshot columns read as text.
@@ -165,12 +165,3 @@ def register_tables(spark: SparkSession, tables: Mapping[str, str]) -> None:
 def query(spark: SparkSession, sql: str) -> DataFrame:
     """Ad-hoc SQL over registered tables or ``parquet.`path```.  Errors surface to the caller."""
     return spark.sql(sql)
-
-
-def stamped(df: DataFrame, source_date: Column) -> DataFrame:
-    """Attach the declared source date as a column."""
-    return df.withColumn("source_date", source_date)
-
-
-def as_bars(df: DataFrame, schema: T.StructType) -> DataFrame:
-    return conform(missing_to_null(df), schema)

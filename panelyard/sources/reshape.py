@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -28,17 +29,19 @@ def wide_to_long(df: DataFrame, date: str, metrics: Sequence[str] = METRICS, tic
     values = [c for c in df.columns if c != date]
     if ticker is not None and not any(sep in c for c in values):
         return df.select(F.lit(ticker).alias("ticker"), date, *[F.col(f"`{c}`") for c in values])
-    cells: dict[str, dict[str, str]] = {}
-    for c in values:
+    cells: dict[str, dict[str, int]] = {}
+    for place, c in enumerate(values):
         left, right = c.split(sep, 1)
         name, metric = (left, right) if right in metrics else (right, left)
-        cells.setdefault(name, {})[metric] = c
+        cells.setdefault(name, {})[metric] = place
     used = [m for m in metrics if any(m in found for found in cells.values())]
-    rows = F.array(*[
-        F.struct(F.lit(name).alias("ticker"), *[
-            (F.col(f"`{found[m]}`") if m in found else F.lit(None)).cast("double").alias(m) for m in used])
-        for name, found in cells.items()])
-    return df.select(date, F.inline(rows)).select("ticker", date, *[f"`{m}`" for m in used])
+    # the row's cells as one array, and one constant that says which cell is whose; a place of -1 reads as NULL
+    layout = json.dumps([{"ticker": name, "at": [found.get(m, -1) for m in used]} for name, found in cells.items()])
+    owners = F.from_json(F.lit(layout), "array<struct<ticker:string,at:array<int>>>")
+    cell = F.array(*[F.col(f"`{c}`").cast("double") for c in values])
+    wide = df.select(date, cell.alias("cells"), F.explode(owners).alias("owner"))
+    return wide.select("owner.ticker", date, *[
+        F.get("cells", F.get("owner.at", F.lit(i))).alias(m) for i, m in enumerate(used)])
 
 
 def statement_rows(

@@ -7,10 +7,11 @@ from pyspark.sql import types as T
 
 from panelyard.operators import gates as G
 from panelyard.operators import merge as M
+from panelyard.operators import settlement as S
 from panelyard.plans import publish as P
 from panelyard.plans import reports as RP
 from panelyard.session import scratch_path
-from panelyard.workload.base import KEYS, bars, incoming, official, query, stored, table
+from panelyard.workload.base import KEYS, bars, incoming, official, panel, query, stored, table
 
 _BARS = T.StructType([
     T.StructField("entity", T.LongType()), T.StructField("day", T.DateType()), T.StructField("open", T.DoubleType()),
@@ -96,6 +97,48 @@ def settlement_log(spark, sf):
     return P.append_log(empty, entries).select("year", F.to_date("at").alias("day"), "rows_added")
 
 
+@query("preview_publish", """
+SELECT *, CAST(week(day) AS INTEGER) AS week FROM stored
+""", ("stored",))
+def preview_publish(spark, sf):
+    """A candidate judged by the gates of its publication without a table being written."""
+    rows = stored(spark, sf).select("*", F.weekofyear("day").alias("week"))
+    return P.preview(rows, [("continuity", lambda df: G.coverage_continuity(df, "entity", "day", 100.0, by=["week"]))])
+
+
+@query("settlement_boundary", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(max(o_orderdate) AS DATE) AS official_through FROM orders GROUP BY 1
+""")
+def settlement_boundary(spark, sf):
+    """One official date a year, set year by year (one of them twice) and read back."""
+    rows = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("day"), F.year("o_orderdate").alias("year"))
+    years = P.partition_values(rows, "year")
+    through = rows.groupBy("year").agg(F.max("day").alias("official_through"))
+    boundary = through.where(F.lit(False))
+    early = through.where(F.col("year") == years[0]).select(F.date_sub("official_through", 9).alias("official_through"))
+    boundary = P.set_boundary(boundary, years[0], early)
+    for year in years:
+        boundary = P.set_boundary(boundary, year, through.where(F.col("year") == year))
+    found = None
+    for year in years:
+        one = S.boundary_of(boundary, year).select(F.lit(year).cast("int").alias("year"), "official_through")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query("backfill_report", """
+SELECT i.market, b.entity, min(b.day) AS first_date, CASE WHEN max(b.day) < DATE '2024-01-30' THEN 'pending' ELSE 'new' END AS state
+FROM bars b JOIN instruments i ON i.entity = b.entity GROUP BY 1, 2 HAVING min(b.day) > DATE '2024-01-01'
+""", ("bars", "instruments"))
+def backfill_report(spark, sf):
+    """Late starters of every market, those already waiting marked."""
+    rows = panel(spark, sf)
+    waiting = rows.groupBy("entity").agg(F.max("day").alias("last")).where(F.col("last") < F.lit("2024-01-30").cast("date"))
+    names = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    panels = {m: (rows.where(F.col("market") == m), waiting) for m in names}
+    return RP.backfill_report(panels, "entity", "day", F.lit("2024-01-01").cast("date"))
+
+
 @query("rewrite_report", """
 WITH b AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n FROM lineitem GROUP BY 1),
      d AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate FROM lineitem),

@@ -249,6 +249,23 @@ def month_partitions(spark, sf):
     return R.read_table(spark, path, schema).groupBy("yyyymm").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("partition_reads", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS "rows", max(o_orderkey) AS last_key FROM orders GROUP BY 1
+""")
+def partition_reads(spark, sf):
+    """Orders written by year and read one partition at a time, an absent one among them."""
+    from panelyard.plans.publish import partition_values
+    from panelyard.session import scratch_path
+    path = scratch_path(spark, "years")
+    rows = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    rows.hint("rebalance", "year").write.partitionBy("year").parquet(path)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType())])
+    out = R.read_partition(spark, path, schema, "year", 1900)
+    for year in partition_values(rows, "year"):
+        out = out.unionByName(R.read_partition(spark, path, schema, "year", year))
+    return out.groupBy("year").agg(F.count(F.lit(1)).alias("rows"), F.max("o_orderkey").alias("last_key"))
+
+
 @query("file_inventory", """
 SELECT 'orders.parquet' AS file, CAST(count(*) AS BIGINT) AS "rows" FROM orders
 UNION ALL SELECT 'lineitem.parquet', CAST(count(*) AS BIGINT) FROM lineitem

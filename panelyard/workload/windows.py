@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelyard.functions import normalise_ticker
 from panelyard.operators import ordered as O
 from panelyard.operators.aggregates import session_counts
-from panelyard.workload.base import KEYS, bars, error_bars, incoming, instruments, markets, panel, query, stored, table
+from panelyard.workload.base import KEYS, bars, error_bars, incoming, markets, panel, query, stored, table
 
 
 @query("change_ratio", """

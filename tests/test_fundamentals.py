@@ -82,7 +82,7 @@ def test_quarterly_rows_skip_stored_and_empty(spark):
     ("2027-03-31", [1, 2, 3]), ("2027-04-01", [1, 2, 3, 4]),
 ])
 def test_target_quarters(spark, today, expected):
-    out = FU.target_quarters(FU.years_frame(spark, 2026, 2026), F.lit(today).cast("date"))
+    out = FU.target_quarters(spark.createDataFrame([(2026,)], "year int"), F.lit(today).cast("date"))
     assert sorted(r.Quarter for r in out.collect()) == expected
 
 

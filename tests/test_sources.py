@@ -85,15 +85,15 @@ def test_ticker_and_watch_lists(spark, tmp_path):
 
 @pytest.mark.parametrize("form", ["{t}|{m}", "{m}|{t}"])
 def test_wide_to_long(spark, form):
-    names = [form.format(t=t, m=m) for t in ("AAPL", "BRK-B") for m in ("Close", "Stock Splits")]
+    names = [form.format(t=t, m=m) for t in ("QWX", "KLM-C") for m in ("Close", "Stock Splits")]
     df = spark.createDataFrame([(d("2026-09-22"), 1.0, 0.0, 2.0, None)], "Date date, " + ", ".join(f"`{n}` double" for n in names))
     out = H.wide_to_long(df, "Date").orderBy("ticker").collect()
-    assert [(r.ticker, r.Close, r["Stock Splits"]) for r in out] == [("AAPL", 1.0, 0.0), ("BRK-B", 2.0, None)]
+    assert [(r.ticker, r.Close, r["Stock Splits"]) for r in out] == [("KLM-C", 2.0, None), ("QWX", 1.0, 0.0)]
 
 
 def test_flat_frame_needs_a_ticker(spark):
     df = spark.createDataFrame([(d("2026-09-22"), 1.0)], "Date date, Close double")
-    assert tuple(H.wide_to_long(df, "Date", ticker="AAPL").first()) == ("AAPL", d("2026-09-22"), 1.0)
+    assert tuple(H.wide_to_long(df, "Date", ticker="QWX").first()) == ("QWX", d("2026-09-22"), 1.0)
 
 
 def test_statement_rows_unite_periods(spark):
