@@ -3,7 +3,6 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from test_bpe_and_toxicity import corpus
 from test_mixing_and_chat import count, targets_brute
 from test_near_duplicates import lines_brute
