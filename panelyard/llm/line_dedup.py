@@ -184,8 +184,9 @@ def duplicate_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     if suspects.count() <= BROADCAST_LINES:
         wanted = F.broadcast(wanted)
     bodies = slim.join(wanted, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark"))).select(
-        F.split(F.col("body").cast("string"), "\n").alias("all"), F.explode("wanted").alias("w")).select(
-        F.col("w.owner").alias("owner"), F.get("all", F.col("w.line")).cast("binary").alias("body"))
+        F.split(F.col("body").cast("string"), "\n").alias("all"), "wanted").select(F.explode(F.transform(
+            "wanted", lambda w: F.struct(w.owner.alias("owner"), F.get("all", w.line).cast("binary").alias("body"))))
+        .alias("w")).select("w.owner", "w.body")
     bodies = materialise(bodies.dropDuplicates(["owner"]), "bodies")    # rows equal in key and text bring it twice
 
     spread = bodies.mapInArrow(_variants_of, "variant long, place int, owner long")
