@@ -7,7 +7,8 @@ import xxhash
 
 from panelyard.llm.components import components, local_stars
 from panelyard.llm.line_dedup import dedup_lines, one_edit, variants
-from panelyard.llm.simhash import anchors_of, fingerprint, keep_one, near_classes, near_links
+from panelyard.llm.simhash import (anchors_of, fingerprint, keep_one, keep_one_similar, near_classes, near_links,
+                                   similar_classes)
 from panelyard.llm.vectors import near_vectors
 
 
@@ -98,6 +99,41 @@ def test_near_classes_and_keep_one(docs_of, odd_texts, clashing):
     assert keep_one(docs_of([])).collect() == []
 
 
+def shingle_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("set_rows", [6, 1024])
+def test_near_copies_from_four_fifths_on(docs_of, odd_texts, clashing, set_rows):
+    rnd, rows = random.Random(7), list(odd_texts)
+    for base in range(60):
+        words = [f"w{rnd.randrange(5000)}" for _ in range(rnd.choice([9, 40, 100, 300, 1000]))]
+        rows.append((100 + 10 * base, " ".join(words)))
+        for copy in range(1, 7):
+            share = rnd.choice([0.01, 0.02, 0.025, 0.03, 0.04, 0.06])
+            rows.append((100 + 10 * base + copy, " ".join("new" + str(rnd.random()) if rnd.random() < share else w for w in words)))
+    sets = {i: shingle_set(t) for i, (_, t) in enumerate(rows)}
+    alike = lambda a, b: a == b or bool(a and b) and len(a & b) >= 0.8 * len(a | b)
+    links = [(i, j) for i in sets for j in range(i + 1, len(rows)) if alike(sets[i], sets[j])]
+    root = roots_brute(list(sets), links)
+    assert sum(0.8 <= len(sets[i] & sets[j]) / len(sets[i] | sets[j]) < 0.9 for i, j in links if sets[i]) > 50
+    df = clashing(docs_of(rows))
+    got = {}
+    for r in similar_classes(df, set_rows=set_rows).collect():
+        got.setdefault(r.root, []).append(str(r.doc_id))
+    want = {}
+    for i, (k, _) in enumerate(rows):
+        want.setdefault(root[i], []).append(str(k))
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+    kept = keep_one_similar(df)
+    assert kept.columns == df.columns and kept.count() == len(want)
+
+
+def test_near_copies_of_no_documents(docs_of):
+    assert keep_one_similar(docs_of([])).collect() == []
+
+
 def test_one_edit_and_variants():
     a = b"a b c d".split()
     for other, want in ((b"a b c d", True), (b"a b x d", True), (b"a c d", True), (b"a b c d e", True), (b"x b c y", False),
