@@ -17,7 +17,9 @@ SAMPLE_ROWS = 20_000        # distinct vectors the index is fitted on, at most;
 SUBSPACES, CODES = 8, 256
 MOST_LISTS = 4_096
 CELL_ROWS = 2_048           # members, and queries, compared in one cell of a list
-SURE = 2.0                  # standard deviations of a random displacement that probes allow for
+SURE, WIDE = 2.0, 3.5       # least deviations of a displacement that probes allow for; those without enough pairs
+ASKED, LEAST_PAIRS = 2_000, 200     # sample vectors whose neighbours set the deviations; pairs needed for that
+MISSED = 0.005              # share of the sample's pairs that probes may miss
 PAIRS = 100_000             # candidates reranked at once
 
 
@@ -28,6 +30,8 @@ class Index:
     centres: np.ndarray         # lists x dimensions
     books: np.ndarray           # subspaces x codes x dimensions of a subspace (padded with zeros)
     reach: float                # largest distance of unit vectors that are linked
+    spread: np.ndarray          # dimensions x dimensions: root of the residuals' covariance, of trace 1
+    sure: float = WIDE          # deviations along the line between two centroids that probes allow for
 
     def pieces(self, x: np.ndarray) -> np.ndarray:
         """Vectors cut into subspaces: subspaces x rows x dimensions of a subspace."""
@@ -39,19 +43,27 @@ class Index:
     def probes(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The home list of each row, and which lists it must look into (rows x lists).
 
-        A neighbour is displaced by at most ``reach``, in any direction: along the line between two centroids that
-        is a normal deviation of ``reach / sqrt(dimensions)``.  A list is probed unless the border between it and the
-        home list is further away than SURE deviations: of the pairs at the very threshold 2 % are missed from one
-        side, and a pair is lost only if both sides miss it; closer pairs are hardly ever missed.
+        A neighbour is displaced by at most ``reach``.  Its deviation along the line between two centroids is taken
+        from the residuals' covariance, so data of few effective dimensions give wide margins, and is at least that of
+        an even spread.  A list is probed unless the border between it and the home list is further away than ``sure``
+        deviations, which ``build_index`` sets from neighbours in the sample, or than ``reach``, which none can cross.
         """
-        away = _squares(x, self.centres)
-        home = away.argmin(axis=1)
-        gaps = np.sqrt(np.maximum(_squares(self.centres, self.centres), 1e-18))
-        border = (away - away[np.arange(len(x)), home][:, None]) / (2 * gaps[home])
-        seen = border <= SURE * self.reach / np.sqrt(x.shape[1])
+        home, border, deviation = self.borders(x)
+        seen = border <= np.minimum(self.sure * deviation, self.reach) + 1e-9
         seen[np.arange(len(x)), home] = True
         return home, seen
 
+    def borders(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Home lists; how far each row is from the border to every list; the deviation along that line."""
+        away = _squares(x, self.centres)
+        home = away.argmin(axis=1)
+        homes, at = np.unique(home, return_inverse=True)
+        gaps = np.maximum(_squares(self.centres[homes], self.centres), 1e-18)
+        turned = self.centres @ self.spread
+        along = np.maximum(_squares(turned[homes], turned) / gaps, 1 / x.shape[1])
+        border = (away - away[np.arange(len(x)), home][:, None]) / (2 * np.sqrt(gaps)[at])
+        return home, border, self.reach * np.sqrt(along)[at]
+
     def codes(self, x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the residuals, and the distance between each vector and what its codes stand for."""
         parts = self.pieces(x - self.centres[home])
@@ -81,13 +93,47 @@ def build_index(sample: np.ndarray, rows: int, cosine: float, seed: int = 11) ->
     lists = int(np.clip(2 ** np.round(np.log2(4 * max(1.0, rows) ** 0.5)), 1, MOST_LISTS))
     centres = _means(sample, max(1, min(lists, len(sample) // 4)), random)
     width = -(-sample.shape[1] // SUBSPACES)
-    index = Index(centres, np.zeros((SUBSPACES, 1, width)), float(np.sqrt(2 - 2 * cosine)))
-    parts = index.pieces(sample - centres[_squares(sample, centres).argmin(axis=1)])
+    left = sample - centres[_squares(sample, centres).argmin(axis=1)]
+    values, axes = np.linalg.eigh(left.T @ left)
+    values = np.maximum(values, 0)
+    spread = axes * np.sqrt(values / max(values.sum(), 1e-18))
+    index = Index(centres, np.zeros((SUBSPACES, 1, width)), float(np.sqrt(2 - 2 * cosine)), spread)
+    index.sure = _deviations(index, sample, cosine, random)
+    parts = index.pieces(left)
     books = [_means(p, CODES, random, 5) for p in parts]
     index.books = np.stack(books)
     return index
 
 
+def _deviations(index: Index, sample: np.ndarray, cosine: float, random: np.random.Generator) -> float:
+    """The deviations that let all but MISSED of the sample's neighbours meet, from one side or the other.
+
+    At most 16 neighbours of a vector count, so large groups do not outweigh the others.
+    """
+    needed = []
+    for some in np.array_split(random.permutation(len(sample))[:ASKED], 20):
+        if not len(some):
+            continue
+        near = sample[some] @ sample.T >= cosine
+        near[np.arange(len(some)), some] = False
+        i, j = np.nonzero(near)
+        mixed = random.permutation(len(i))
+        i, j = i[mixed], j[mixed]
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        nth = np.arange(len(i)) - np.searchsorted(i, i)
+        i, j = i[nth < 16], j[nth < 16]
+        if not len(i):
+            continue
+        others, at = np.unique(j, return_inverse=True)
+        home, border, deviation = index.borders(sample[some])
+        home2, border2, deviation2 = index.borders(sample[others])
+        there, back = home2[at], home[i]
+        needed.append(np.minimum(border[i, there] / deviation[i, there], border2[at, back] / deviation2[at, back]))
+    needed = np.concatenate(needed) if needed else np.zeros(0)
+    return WIDE if len(needed) < LEAST_PAIRS else max(SURE, float(np.quantile(needed, 1 - MISSED)))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     """A list column without nulls, all of one length, as a matrix of doubles."""
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -223,25 +269,30 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     directly, copies included; ``component_id`` is the smallest key reachable; kept rows have that key.
 
     Null and zero vectors, vectors with null or non-finite components and rows without a key link with nothing.
-    Neither do vectors whose length is not the commonest (the smaller length on a tie).  Rows that repeat a key are
-    linked each by its own vector.
+    Vectors of different lengths never link; each length has an index of its own.  Rows that repeat a key are linked
+    each by its own vector.
 
     Equal vectors are one class with a weight, whatever their number.  A list is cut into cells of at most about
     ``cell_rows`` members and queries each, so a hot list is shared by many tasks; a cell gives counts and stars, not
     pairs.  The index is fitted on at most ``sample_rows`` distinct vectors, those with the smallest hash.
     """
-    spark = rows.sparkSession
     v = F.col("vec")
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     ok = F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists("vec", lambda x: x != 0)
     named = rows.select(F.col(key).alias("vec_id"), F.col(vector).alias("vec"))
     named = named.withColumn("ok", F.coalesce(ok, F.lit(False)))
-    width = named.where("ok").groupBy(F.size("vec").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    if width is None:
-        return named.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
-                            F.lit(True).alias("kept"))
-    named = materialise(named.withColumn("ok", F.col("ok") & (F.size("vec") == width.width)), "vectors")
-    classes = named.where("ok").groupBy("vec").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    named = materialise(named.withColumn("width", F.when(F.col("ok"), F.size("vec"))), "vectors")
+    out = named.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"),
+                                       F.col("vec_id").alias("component_id"))
+    for width in sorted(r.width for r in named.where("ok").select("width").distinct().collect()):
+        out = out.unionByName(_linked(named.where(F.col("width") == width), cosine, sample_rows, cell_rows))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def _linked(named: DataFrame, cosine: float, sample_rows: int, cell_rows: int) -> DataFrame:
+    """``vec_id, n_links, component_id`` of sound vectors of one length."""
+    spark = named.sparkSession
+    classes = named.groupBy("vec").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n"))
     classes = materialise(classes.select(F.monotonically_increasing_id().alias("cid"), "first", "n", "vec"), "classes")
 
     sample = classes.orderBy(F.xxhash64("vec")).limit(sample_rows).select("vec").toArrow().column(0).combine_chunks()
@@ -270,7 +321,4 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
         "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         F.coalesce("root", "first").alias("component_id"))
     labels = materialise(labels, "labels")
-    linked = named.where("ok").join(labels, "vec").select("vec_id", "n_links", "component_id")
-    alone = named.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"),
-                                         F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+    return named.join(labels, "vec").select("vec_id", "n_links", "component_id")

@@ -9,7 +9,7 @@ from panelyard.llm.components import components, local_stars
 from panelyard.llm.line_dedup import dedup_lines, one_edit, variants
 from panelyard.llm.simhash import (anchors_of, fingerprint, keep_one, keep_one_similar, near_classes, near_links,
                                    similar_classes)
-from panelyard.llm.vectors import near_vectors
+from panelyard.llm.vectors import build_index, near_vectors
 
 
 def roots_brute(nodes, links):
@@ -209,3 +209,31 @@ def test_vectors_match_brute_force(spark, clashing):
         assert all(got[k].n_links == 0 and got[k].component_id == k and got[k].kept for k, _ in odd)
     assert near_vectors(df.where("vec_id > 5000")).collect() == []
     assert near_vectors(df.where("vec_id = 901")).first().n_links == 0
+
+
+@pytest.mark.parametrize("kind", ["even", "decaying", "rank 8", "rank 4", "planes of their own"])
+def test_probes_meet_neighbours_of_few_effective_dimensions(kind):
+    rnd, n, d = np.random.default_rng(4), 8000, 64
+    if kind == "even":
+        x = np.repeat(rnd.normal(size=(n // 4, d)), 4, axis=0) + 0.3 * rnd.normal(size=(n, d))
+    elif kind == "decaying":
+        x = rnd.normal(size=(n, d)) / np.arange(1, d + 1)
+    elif kind == "planes of their own":
+        axes = np.linalg.qr(rnd.normal(size=(n // 40, d, 3)))[0]
+        x = np.repeat(rnd.normal(size=(n // 40, d)), 40, axis=0) + np.einsum(
+            "kdr,kmr->kmd", axes, 3 * rnd.normal(size=(n // 40, 40, 3))).reshape(n, d)
+    else:
+        x = rnd.normal(size=(n, int(kind[-1]))) @ rnd.normal(size=(int(kind[-1]), d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    home, seen = build_index(x[rnd.permutation(n)], n, 0.9).probes(x)
+    a, b = np.nonzero(np.triu(x @ x.T >= 0.9, 1))
+    assert len(a) > 1000 and (seen[a, home[b]] | seen[b, home[a]]).mean() >= 0.97
+
+
+def test_each_vector_length_is_linked_by_itself(spark):
+    rows = [(i, [1.0, float(i % 2), 0.0]) for i in range(8)] + [(20, [1.0, 2.0]), (21, [1.0, 2.0]), (22, [1.0, 2.1]),
+                                                                (23, [-2.0, 1.0]), (30, [3.0]), (31, [5.0]), (32, [-1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**{i: (3, i % 2) for i in range(8)}, 20: (2, 20), 21: (2, 20), 22: (2, 20), 23: (0, 23),
+                   30: (1, 30), 31: (1, 30), 32: (0, 32)}
