@@ -48,15 +48,30 @@ def run_available(
     """Process everything available now, then stop; returns the rows a watermark dropped as too late.
 
     ``checkpoint`` is the folder (shared storage) that keeps the progress: a later run with the same folder goes on
-    where this one stopped.  Without it the run starts anew.  Dropped rows are counted, not stored: the batch path
-    takes them.
+    where this one stopped.  Without it the run starts anew.  Dropped rows are counted, not stored.  A query keeps
+    its last progress entries only, so they are gathered while it runs.
     """
     spark = stream.sparkSession
-    query = (stream.writeStream.outputMode(mode).foreachBatch(sink)
+    dropped, running = {}, []
+
+    def gather() -> None:
+        for progress in running[0].recentProgress if running else ():
+            for i, op in enumerate(progress["stateOperators"]):
+                at = progress["batchId"], i
+                dropped[at] = max(dropped.get(at, 0), int(op["numRowsDroppedByWatermark"]))
+
+    def counted(batch: DataFrame, number: int) -> None:
+        if number % 10 == 0:
+            gather()
+        sink(batch, number)
+
+    query = (stream.writeStream.outputMode(mode).foreachBatch(counted)
              .option("checkpointLocation", checkpoint or scratch_path(spark, f"{label}-progress"))
              .trigger(availableNow=True).start())
+    running.append(query)
     query.awaitTermination()
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"])
+    gather()
+    return sum(dropped.values())
 
 
 def collect_updates(bars: DataFrame, label: str = "bars", days: int = 7) -> DataFrame:
@@ -64,6 +79,7 @@ def collect_updates(bars: DataFrame, label: str = "bars", days: int = 7) -> Data
 
     Each micro-batch writes its own partition with overwrite, so a repeated batch replaces itself.
     ``final`` marks bars whose day ended before the look-back of ``days`` (the delay of the stream) behind the newest.
+    Rows that the watermark dropped are refused.
     """
     spark = bars.sparkSession
     path = scratch_path(spark, label)
@@ -71,7 +87,9 @@ def collect_updates(bars: DataFrame, label: str = "bars", days: int = 7) -> Data
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    run_available(bars, write, label)
+    late = run_available(bars, write, label)
+    if late:
+        raise ValueError(f"{late} rows came later than the look-back; collect_bars takes them")
     versions = spark.read.parquet(path)
     newest = keep_one(versions, ["entity", "day"], [F.col("batch").desc()]).drop("batch")
     edge = versions.agg(F.max("day")).scalar()
@@ -99,6 +117,26 @@ def combine_parts(parts: DataFrame) -> DataFrame:
         F.sum("amount").cast("double").alias("amount"))
 
 
+def collect_bars(events: DataFrame, entity: str, time: str, value: str, label: str = "bars", days: int = 7) -> DataFrame:
+    """Whole bars of a stream of events, however late and in whatever batches they come; ``final`` as above."""
+    spark = events.sparkSession
+    path = scratch_path(spark, label)
+    run_available(events, lambda batch, n: bar_parts(batch, entity, time, value).write.mode("overwrite").parquet(
+        f"{path}/batch={n}"), label, "append")
+    bars = combine_parts(spark.read.parquet(path))
+    edge = bars.agg(F.max("day")).scalar()
+    return bars.withColumn("final", F.col("day") < F.date_sub(edge, days))
+
+
+def collect_once(events: DataFrame, keys: list[str], label: str = "once") -> DataFrame:
+    """The rows of a stream, each key once, however far apart its repeats come."""
+    spark = events.sparkSession
+    path = scratch_path(spark, label)
+    run_available(events, lambda batch, n: batch.dropDuplicates(keys).write.mode("overwrite").parquet(
+        f"{path}/batch={n}"), label, "append")
+    return spark.read.parquet(path).dropDuplicates(keys)
+
+
 def upsert_stream(
     events: DataFrame, parts_path: str, by: Column, entity: str, time: str, value: str,
     publish: Callable[[DataFrame], None], label: str = "upsert", checkpoint: str | None = None,

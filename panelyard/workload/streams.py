@@ -16,7 +16,7 @@ from panelyard.workload.publication import _BARS
 @query("stream_bars", "SELECT entity, day, open, high, low, close, volume, amount FROM bars", ("bars",))
 def stream_bars(spark, sf):
     events = S.open_events(spark, sf, "events.parquet", "ts")
-    bars = S.collect_updates(S.daily_bars(events, "user_id", "ts", "value"))
+    bars = S.collect_bars(events, "user_id", "ts", "value")
     return bars.select("entity", "day", "open", "high", "low", "close", "volume", "amount")
 
 
@@ -26,7 +26,7 @@ SELECT entity, day, close, day < (SELECT max(day) FROM bars) - 7 AS final FROM b
 def stream_final_flags(spark, sf):
     """Bars still inside the look-back are provisional."""
     events = S.open_events(spark, sf, "events.parquet", "ts")
-    return S.collect_updates(S.daily_bars(events, "user_id", "ts", "value")).select("entity", "day", "close", "final")
+    return S.collect_bars(events, "user_id", "ts", "value").select("entity", "day", "close", "final")
 
 
 @query("stream_dedup", """
@@ -35,12 +35,8 @@ SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type
 def stream_dedup(spark, sf):
     """The feed delivered twice; each event counts once."""
     events = S.open_events(spark, sf, "events.parquet", "ts")
-    once = S.drop_repeats(events.unionByName(events), ["event_id"], "ts")
-    path = scratch_path(spark, "once")
-    S.run_available(once.select("event_id", "event_type"),
-                    lambda batch, n: batch.write.mode("overwrite").parquet(f"{path}/batch={n}"), "once", "append")
-    return spark.read.parquet(path).groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"))
+    once = S.collect_once(events.unionByName(events).select("event_id", "event_type"), ["event_id"])
+    return once.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_upsert", """
