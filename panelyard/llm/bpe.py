@@ -41,14 +41,14 @@ class Vocabulary:
         order = np.argsort(keys)
         self.keys, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([vocab[a + b] for a, b in merges], np.int64)
-        letters = _byte_letters()
+        letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int64)
         self.last = np.array([vocab[c + self.suffix] for c in letters], np.int64)
         names = {i: t for t, i in {**vocab, **self.added}.items()}
         self.names = [names.get(i, "") for i in range(max(names) + 1)]
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The character that stands for each byte: printable ones for themselves, others from U+0100 on in order."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     hidden = iter(range(0x100, 0x200))

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import bpe, chat, exact_dedup, line_dedup, mixing, secrets, sharding, simhash, toxicity, vectors
+from panelyard.llm import (alignment, bpe, chat, exact_dedup, line_dedup, mixing, secrets, sharding, simhash, toxicity,
+                           vectors)
+from panelyard.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +32,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @query("op1_line_dedup")
@@ -115,3 +119,11 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""")
 def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, sf, "documents"), hash_all=True)
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    aligned = alignment.alignments(table(spark, sf, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
+    hashed = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    stored = materialise(aligned.withColumn("groups_sha256", hashed).drop("groups"), "alignments")
+    return alignment.scored(stored)
