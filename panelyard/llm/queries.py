@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import (alignment, bpe, chat, exact_dedup, line_dedup, mixing, secrets, sharding, simhash, toxicity,
-                           vectors)
+from panelyard.llm import (alignment, bpe, chat, digests, exact_dedup, line_dedup, mixing, secrets, sharding, simhash,
+                           toxicity, vectors)
 from panelyard.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,3 +127,8 @@ def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
     hashed = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
     stored = materialise(aligned.withColumn("groups_sha256", hashed).drop("groups"), "alignments")
     return alignment.scored(stored)
+
+
+@query("op12_digest")
+def op12_digest(spark: SparkSession, sf: str) -> DataFrame:
+    return digests.edits_compared(table(spark, sf, "documents"))
