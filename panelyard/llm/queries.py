@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelyard.llm import (alignment, bpe, chat, digests, exact_dedup, line_dedup, mixing, secrets, sharding, simhash,
-                           toxicity, vectors)
+from panelyard.llm import (alignment, bpe, chat, conversations, digests, exact_dedup, line_dedup, mixing, secrets, sharding,
+                           simhash, toxicity, vectors)
 from panelyard.session import materialise
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +121,11 @@ def op10_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_copies(table(spark, sf, "documents"), hash_all=True)
 
 
+@query("op11_repair")
+def op11_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.repair_structure(conversations.damaged(table(spark, sf, "conversations")))
+
+
 @query("op13_alignment")
 def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
     aligned = alignment.alignments(table(spark, sf, "documents"), BYTE_VOCABULARY, PIECE_MODEL)
