@@ -103,19 +103,21 @@ def _merge_bars(
 
     Those are the feed's years, the years that store a row of ``replace`` (dropped first; their market caps survive
     only with ``carry_caps``, a rebase, not when they belonged to another instrument) and the years whose first change
-    has a new predecessor.  Only these years are read whole; of the others each entity's last bar, as predecessor.
+    has a new predecessor.  Only these years are read; of the others the stored ends: which entities they hold, and
+    each entity's last bar, as predecessor.
     """
-    stored = lake.read(lake.bars(market))
+    table = lake.bars(market)
+    stored, ends = lake.read(table), lake.ends(table).withColumnRenamed("last_value", "last_close")
     years = set(partition_values(feed, "year"))
     if replace is not None:
-        years |= set(partition_values(M.only_entities(stored, replace, "Ticker"), "year"))
+        years |= set(partition_values(M.only_entities(ends, replace, "Ticker"), "year"))
     context = pruned(stored, "year", sorted(years))
     kept = context if replace is None else M.drop_entities(context, replace, "Ticker")
     filled = M.preserve_measure(context if carry_caps else kept, feed, ["Ticker", "Date"], "MarketCap")
     merged = materialise(by_year(conform(_home_days(M.merge_last(kept, filled, ["Ticker", "Date"]), market), BARS),
                                  "Date"), "merged")
 
-    others = materialise(_ends(stored.where(~F.col("year").isin(*years)) if years else stored), "ends")
+    others = materialise(ends.where(~F.col("year").isin(*years)) if years else ends, "ends")
     old, new = _ends(context), _ends(merged)
     moved = old.select("Ticker", "year", "last", "last_close").exceptAll(
         new.select("Ticker", "year", "last", "last_close")).unionByName(
@@ -272,7 +274,7 @@ def backfill_new(
     stored = lake.read(table)
     waiting = lake.queue(market, "backfill")
     candidates = materialise(CU.backfill_candidates(
-        universe, A.known_entities(stored, "Ticker"), waiting, "Ticker"), "candidates")
+        universe, A.known_entities(lake.ends(table), "Ticker"), waiting, "Ticker"), "candidates")
     intent = _listed(candidates, market, "backfill")
     _set_pending(lake, intent, intent.where(F.lit(False)))
     bars, gates, acted = finalise_feed(raw.join(candidates.select("Ticker"), "Ticker", "left_semi"), seq)
@@ -306,7 +308,8 @@ def rebase_bars(
     bars, gates, _ = finalise_feed(raw.join(named, "Ticker", "left_semi"), seq)
     G.require_all(gates)
     stored = lake.read(table)
-    feed = materialise(bars.join(stored.select("year").distinct(), "year", "left_semi").select(*bars.columns), "feed")
+    kept_years = partition_values(lake.ends(table), "year")
+    feed = materialise(bars.where(F.col("year").isin(*kept_years) if kept_years else F.lit(False)), "feed")
     decision = materialise(G.rebase_safe(stored, feed, named, failed, "Ticker", F.year("Date")), "rebase")
     safe = decision.where("safe").select("Ticker")
     fresh = R.target_entities(feed, safe, "Ticker")
@@ -612,9 +615,7 @@ def rewrite(lake: Lake, market: str, limits: Limits = Limits(), apply: bool = Tr
     table = lake.bars(market)
     before = lake.read(table)
     years = partition_values(before, "year")
-    at = F.col("_metadata.file_modification_time"), F.col("_metadata.file_name"), F.col("_metadata.row_index")
-    ordered = lake.spark.read.parquet(table.path).select("*", F.struct(*at).alias("_at"))
-    deduped = M.dedup_feed(ordered, ["Ticker", "Date"], [F.col("_at")]).drop("_at")    # the row written last stays
+    deduped = M.dedup_feed(table.read(lake.spark, "_at"), ["Ticker", "Date"], [F.col("_at")]).drop("_at")    # the row written last stays
     after = by_year(conform(_with_ratio(_home_days(deduped, market)), BARS), "Date")
     report = materialise(RP.rewrite_report(before, after, "Ticker", "Date"), "rewrite")
     G.require("rewrite", report)
@@ -625,8 +626,8 @@ def rewrite(lake: Lake, market: str, limits: Limits = Limits(), apply: bool = Tr
 def audit_backfill(lake: Lake, market: str, after: Column, fix: bool = False) -> DataFrame:
     """Late starters of a market; ``fix`` queues the new ones for backfill."""
     lake.pending().create(lake.spark)
-    rows = lake.read(lake.bars(market))
-    found = materialise(CU.backfill_audit(rows, lake.queue(market, "backfill"), "Ticker", "Date", after), "audit")
+    ends = lake.ends(lake.bars(market))
+    found = materialise(CU.backfill_audit(ends, lake.queue(market, "backfill"), "Ticker", "first", after), "audit")
     if fix:
         intent = _listed(found.where(F.col("state") == "new"), market, "backfill")
         _set_pending(lake, intent, intent.where(F.lit(False)))

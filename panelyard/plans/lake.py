@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelyard import schemas as SC
-from panelyard.plans.publish import Table
+from panelyard.plans.publish import Ends, Table
 
 
 @dataclass(frozen=True)
@@ -18,13 +18,13 @@ class Lake:
     spark: SparkSession
     root: str
 
-    def _table(self, name: str, schema, keys, partition="year", codec="snappy") -> Table:
-        return Table(f"{self.root}/{name}", schema, keys, partition, codec)
+    def _table(self, name: str, schema, keys, partition="year", codec="snappy", ends=None) -> Table:
+        return Table(f"{self.root}/{name}", schema, keys, partition, codec, ends)
 
     def bars(self, market: str) -> Table:
         if market == "kr":
-            return self._table("kr/bars", SC.KR_BARS, ("Code", "Date"))
-        return self._table(f"{market}/bars", SC.BARS, ("Ticker", "Date"))
+            return self._table("kr/bars", SC.KR_BARS, ("Code", "Date"), ends=Ends("Code", "Date", "Close"))
+        return self._table(f"{market}/bars", SC.BARS, ("Ticker", "Date"), ends=Ends("Ticker", "Date", "Close"))
 
     def financials(self, market: str) -> Table:
         return self._table(f"{market}/financials", SC.FINANCIALS, ("Ticker", "PeriodDate"), "period_year")
@@ -59,6 +59,10 @@ class Lake:
     def read(self, table: Table) -> DataFrame:
         return table.read(self.spark)
 
+    def ends(self, table: Table) -> DataFrame:
+        """First and last date, last value and rows of every entity and partition; no rows are read."""
+        return table.read_ends(self.spark)
+
     def queue(self, market: str, kind: str) -> DataFrame:
         """Tickers waiting in one of the market's retry lists."""
         rows = self.read(self.pending())

@@ -357,3 +357,25 @@ def test_rewrite_keeps_the_row_written_last(spark, lake):
         bars.coalesce(1).write.mode("append").partitionBy("year").parquet(table.path)
     J.rewrite(lake, "us", LOOSE)
     assert [r.Close for r in lake.read(table).collect()] == [3.0]
+
+
+def test_update_reads_no_file_of_other_years(spark, lake, tmp_path):
+    """Files of years a run does not touch are made unreadable: predecessors and counts come from the stored ends."""
+    table = lake.bars("us")
+    everyone = names(spark, ["A", "B"])
+    for year in ("2022", "2023", "2025"):
+        J.backfill_bars(lake, "us", raw(spark, {t: weekdays(f"{year}-06-02", 3) for t in "AB"}, float(year)), nobody(spark),
+                        limits=LOOSE)
+    for key, folder in table.manifest(spark).data.items():
+        if key != "year=2025":
+            for f in (tmp_path / "us" / "bars" / folder).glob("*.parquet"):
+                f.write_bytes(b"no parquet")
+    days = weekdays("2025-06-05", 2)
+    J.update_bars(lake, "us", raw(spark, {t: days for t in "AB"}, 4050.0), everyone, nobody(spark),
+                  F.lit(days[1].isoformat()).cast("date"), limits=LOOSE)
+    rows = {(r.Ticker, r.Date): r for r in table.read(spark).where("year = 2025").collect()}
+    assert len(rows) == 10 and rows["A", days[0]].ChangesRatio == pytest.approx(100.0)
+    first = rows["B", d("2025-06-02")]
+    assert first.ChangesRatio == pytest.approx((2025 / 2023 - 1) * 100)       # over the year between
+    assert {(r.Ticker, r.year): (r.last, r.last_value) for r in lake.ends(table).collect()}["A", 2025] == (days[1], 4050.0)
+    assert J.audit_backfill(lake, "us", F.lit("2023-01-01").cast("date")).count() == 0

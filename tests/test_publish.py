@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from panelyard.operators import gates as G
 from panelyard.plans import publish as P
+from panelyard.plans import versions as V
 from panelyard.session import shared_dir
 from tests.conftest import d
 
@@ -59,7 +60,7 @@ def test_damaged_stage_is_noticed(spark, table, monkeypatch):
 
     def shortened(self, *paths, **options):
         df = real(self, *paths, **options)
-        return df.limit(4) if "stage-" in str(paths[0]) else df
+        return df.limit(4) if "/data/_version=" in str(paths[0]) else df
 
     monkeypatch.setattr(spark.read.__class__, "parquet", shortened)
     with pytest.raises(G.GateRefused) as refusal:
@@ -96,3 +97,93 @@ def test_log_keeps_every_entry_that_changed_something(spark):
 def test_shared_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_dir(spark) == named.rstrip("/")
+
+
+def test_crash_before_the_switch_leaves_the_old_version(spark, table, monkeypatch):
+    P.publish(frame(spark, 2024).unionByName(frame(spark, 2025)), table)
+    with monkeypatch.context() as lost:
+        lost.setattr(V, "commit", lambda *args: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            P.publish(frame(spark, 2024, 3, "z").unionByName(frame(spark, 2025, 3, "z")), table)
+    assert {(r.year, r.v) for r in table.read(spark).collect()} == {(2024, "a"), (2025, "a")}
+
+
+def test_crash_between_two_partitions_leaves_the_old_version(spark, table):
+    """The second partition cannot be written; nothing of the first is seen."""
+    P.publish(frame(spark, 2024).unionByName(frame(spark, 2025)), table)
+    broken = frame(spark, 2025, 3, "z").withColumn("k", F.when(F.col("k") < 2, F.col("k")).otherwise(
+        F.raise_error(F.lit("lost")).cast("long")))
+    with pytest.raises(Exception, match="lost"):
+        P.publish(frame(spark, 2024, 3, "z").unionByName(broken), table)
+    assert {(r.year, r.v, r.k) for r in table.read(spark).collect()} == {
+        (y, "a", k) for y in (2024, 2025) for k in range(10)}
+    assert [n for n in V.names(spark, f"{table.path}/data")] == [V.latest(spark, table.path).data["year=2024"].split("/")[1]]
+
+
+def test_half_written_manifest_is_no_version(spark, table, tmp_path):
+    P.publish(frame(spark, 2024), table)
+    (tmp_path / "t" / "manifest" / "000000000002.json").write_text('{"number": 2, "data": {"ye')
+    assert table.read(spark).count() == 10
+    P.publish(frame(spark, 2025, 4), table)
+    assert V.latest(spark, table.path).number == 3 and table.read(spark).count() == 14
+
+
+def test_slower_publication_is_refused(spark, table):
+    P.publish(frame(spark, 2024), table)
+
+    def meanwhile(rows):
+        P.publish(frame(spark, 2025, 2, "b"), table)
+        return rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("ok", F.lit(True))
+
+    with pytest.raises(V.PublicationConflict):
+        P.publish(frame(spark, 2024, 1, "z"), table, [("meanwhile", meanwhile)])
+    assert {(r.year, r.v) for r in table.read(spark).collect()} == {(2024, "a"), (2025, "b")}
+
+
+def test_every_partition_is_written_once(spark, table):
+    P.publish(frame(spark, 2024).unionByName(frame(spark, 2025)), table)
+    first = V.latest(spark, table.path).data
+    P.publish(frame(spark, 2025, 3, "b"), table)
+    second = V.latest(spark, table.path).data
+    assert second["year=2024"] == first["year=2024"] and second["year=2025"] != first["year=2025"]
+    assert V.names(spark, f"{table.path}/data/{second['year=2025'].split('/')[1]}") == ["_SUCCESS", "year=2025"]
+
+
+def test_reader_keeps_its_version_until_vacuum(spark, table):
+    P.publish(frame(spark, 2024), table)
+    before = table.read(spark)
+    P.publish(frame(spark, 2024, 3, "b"), table)
+    assert before.count() == 10 and table.read(spark).count() == 3
+    P.publish(frame(spark, 2024, 2, "c"), table)
+    gone = V.vacuum(spark, table.path, keep=2)
+    assert [g.split("/")[0] for g in gone] == ["data", "manifest"]
+    assert table.read(spark).count() == 2 and V.vacuum(spark, table.path, keep=2) == []
+
+
+def test_landed_folders_are_adopted(spark, table):
+    frame(spark, 2023).unionByName(frame(spark, 2024)).write.partitionBy("year").parquet(table.path)
+    P.publish(frame(spark, 2024, 2, "b"), table)
+    got = {(r.year, r.v): r["count"] for r in table.read(spark).groupBy("year", "v").count().collect()}
+    assert got == {(2023, "a"): 10, (2024, "b"): 2}
+
+
+def test_unpartitioned_and_empty_tables(spark, tmp_path):
+    small = P.Table(str(tmp_path / "s"), SCHEMA, ("k",))
+    assert small.read(spark).count() == 0
+    small.create(spark)
+    small.create(spark)
+    assert small.read(spark).count() == 0 and V.latest(spark, small.path).number == 1
+    P.publish(frame(spark, 1, 3).drop("year"), small)
+    P.publish(small.read(spark).where("k > 0"), small)
+    assert small.read(spark).count() == 2
+    P.publish(small.read(spark).where("false"), small)
+    assert small.read(spark).count() == 0
+
+
+def test_ends_follow_the_rows(spark, tmp_path):
+    dated = P.Table(str(tmp_path / "e"), SCHEMA, ("k",), "year", ends=P.Ends("v", "k", "k"))
+    frame(spark, 2022, 4, "old").write.partitionBy("year").parquet(dated.path)
+    P.publish(frame(spark, 2024).unionByName(frame(spark, 2025, 4, "b")), dated)
+    P.publish(frame(spark, 2024, 3, "c"), dated, partitions=[2024, 2025])
+    assert {tuple(r) for r in dated.read_ends(spark).collect()} == {("old", 2022, 0, 3, 3, 4), ("c", 2024, 0, 2, 2, 3)}
+    assert dated.read_ends(spark).columns == ["v", "year", "first", "last", "last_value", "rows"]
