@@ -13,30 +13,54 @@ from panelyard.workload.base import KEYS, query, table
 from panelyard.workload.publication import _BARS
 
 
+def _halves(spark, sf):
+    """Events landed as six files in no order of time, in two goes: each go is a run, the second from the first's progress."""
+    events, landed = table(spark, sf, "events"), scratch_path(spark, "landed")
+    for half in (0, 1):
+        some = events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half)
+        some.repartition(3, F.xxhash64("event_id")).write.mode("append").parquet(landed)
+        yield S.open_events(spark, landed, "*.parquet", "ts", files_per_batch=1)
+
+
+def _bars_of_halves(spark, sf):
+    root, bars = scratch_path(spark, "bar-state"), None
+    for events in _halves(spark, sf):
+        bars, _ = S.collect_bars(events, root, "user_id", "ts", "value")
+    return bars
+
+
 @query("stream_bars", "SELECT entity, day, open, high, low, close, volume, amount FROM bars", ("bars",))
 def stream_bars(spark, sf):
-    events = S.open_events(spark, sf, "events.parquet", "ts")
-    bars = S.collect_bars(events, "user_id", "ts", "value")
-    return bars.select("entity", "day", "open", "high", "low", "close", "volume", "amount")
+    """State-store aggregation over unordered files, stopped halfway; what came behind the watermark is in the side table."""
+    return _bars_of_halves(spark, sf).select("entity", "day", "open", "high", "low", "close", "volume", "amount")
 
 
 @query("stream_final_flags", """
-SELECT entity, day, close, day < (SELECT max(day) FROM bars) - 7 AS final FROM bars
+SELECT entity, day, close, day + INTERVAL 1 DAY <= (SELECT max(date_trunc('millisecond', ts)) FROM events) - INTERVAL 7 DAY AS final,
+       day < (SELECT max(day) FROM bars) - 7 AS final_by_day
+FROM bars
 """, ("bars",))
 def stream_final_flags(spark, sf):
-    """Bars still inside the look-back are provisional."""
-    events = S.open_events(spark, sf, "events.parquet", "ts")
-    return S.collect_bars(events, "user_id", "ts", "value").select("entity", "day", "close", "final")
+    """Bars whose day the stateful query's own watermark has passed are final; beside it the rule by the newest day."""
+    bars = _bars_of_halves(spark, sf)
+    edge = bars.agg(F.max("day")).scalar()
+    return bars.select("entity", "day", "close", "final", (F.col("day") < F.date_sub(edge, 7)).alias("final_by_day"))
 
 
 @query("stream_dedup", """
-SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type
+SELECT event_id, user_id, event_type, ts FROM events
 """)
 def stream_dedup(spark, sf):
-    """The feed delivered twice; each event counts once."""
-    events = S.open_events(spark, sf, "events.parquet", "ts")
-    once = S.collect_once(events.unionByName(events).select("event_id", "event_type"), ["event_id"])
-    return once.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    """The feed of 20 days and again its last days with the rest, both delivered twice and each a run: every event counts
+    once, and the state holds the look-back only."""
+    events, landed, root = table(spark, sf, "events"), scratch_path(spark, "landed"), scratch_path(spark, "once")
+    out = None
+    for first, last in ((1, 20), (15, 31)):
+        some = events.where(F.dayofmonth("ts").between(first, last)).select("event_id", "user_id", "event_type", "ts")
+        for turn in range(2):
+            some.coalesce(1).write.mode("append").parquet(landed)
+        out, _ = S.collect_once(S.open_events(spark, landed, "*.parquet", "ts", files_per_batch=2), root, ["event_id"], "ts")
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query("stream_upsert", """
