@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelyard.functions import finite
+from panelyard.functions import finite, same_value
 from panelyard.operators import aggregates as A
 from panelyard.operators import calendar as C
 from panelyard.operators import cursor as CU
@@ -413,17 +413,100 @@ def _beside(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.select("*", *[right.select(c).scalar().alias(c) for c in right.columns])
 
 
-def settle_kr_years(lake: Lake, official: DataFrame, years: Sequence[int], floor: Column, **options) -> list[DataFrame]:
-    """Settle several years; a refused year does not stop the others, the first refusal is raised at the end."""
-    reports, refusal = [], None
-    for year in sorted(set(years)):
-        try:
-            reports.append(settle_kr(lake, official, year, floor, **options))
-        except G.GateRefused as error:
-            refusal = refusal or error
-    if refusal:
-        raise refusal
-    return reports
+def settle_kr_years(
+    lake: Lake, official: DataFrame, years: Sequence[int], floor: Column, limits: Limits = Limits(), apply: bool = True,
+    first_year: int = 2026, open_year: int | None = None, refuse: bool = True,
+) -> DataFrame:
+    """Settle any number of years in one plan; a report row per year with its verdict.
+
+    Years are values in the keys of every step: one comparison, one judgement, one publication, one reconciliation,
+    whatever their number.  ``refused`` names the first gate a year fails (its official rows, too wide a move of
+    closes, too few entities on a written date); such a year is left out and the others are settled.  Years before
+    ``first_year`` are ``closed_year``.  With ``refuse`` the refusals are raised after the others were published.
+    """
+    spark, table = lake.spark, lake.bars("kr")
+    for t in (table, lake.boundary(), lake.settlement_log()):
+        t.create(spark)
+    asked = spark.range(1).select(F.explode(F.array(*[F.lit(y).cast("int") for y in sorted(set(years))])).alias("year"))
+    named = [y for y in sorted(set(years)) if y >= first_year]
+    source = materialise(by_year(conform(official.where(F.year("Date").isin(*named) if named else F.lit(False)), KR_BARS),
+                                 "Date"), "official")
+    held = pruned(lake.read(table), "year", named)
+    rules = S.kr_rules()
+
+    def failed(gate: str, verdict: DataFrame, year: Column) -> DataFrame:
+        return verdict.where(~F.coalesce("ok", F.lit(False))).select(year.cast("int").alias("year"), F.lit(gate).alias("gate"))
+
+    both = source.where(F.col("Date") >= floor).select("Code", "Date", F.col("Close").alias("_new")).join(
+        held.select("Code", "Date", F.col("Close").alias("_old")), ["Code", "Date"])
+    bad = failed("1 official_rows", validate_official(source.drop("year")), F.col("partition")).unionByName(
+        failed("2 mass_change", G.mass_change(both, "Date", "_old", "_new"), F.year("Date")))
+
+    compared = materialise(by_year(S.compare_settlement(held.drop("year"), source.drop("year"), rules, floor), "Date"),
+                           "settlement")
+    write = S.rows_to_write(compared, rules)
+    dates = write.select("Date").distinct()
+    counted = held.select("Code", "Date").unionByName(write.select("Code", "Date"))
+    extra = pruned(lake.read(table), "year", sorted({y - 1 for y in named} - set(named)))
+    wide = G.write_coverage(counted, held, dates, "Code", "Date", limits.drop_pct, limits.min_universe, extra)
+    bad = bad if limits.allow_gap else bad.unionByName(failed("3 write_coverage", wide, F.year("Date")))
+    refused = materialise(bad.groupBy("year").agg(F.substring(F.min("gate"), 3, 99).alias("refused")), "refused")
+
+    touched_on = F.when(F.col("added") | F.col("changed"), F.col("Date"))
+    changes = compared.groupBy("year").agg(
+        F.count_if("added").alias("rows_added"), F.count_if(F.col("changed") & ~F.col("added")).alias("rows_replaced"),
+        F.min(touched_on).alias("first_date"), F.max(touched_on).alias("last_date"))
+    bounds = source.groupBy("year").agg(F.max("Date").alias("official_through"))
+    recorded = lake.read(lake.boundary()).groupBy("year").agg(F.max("official_through").alias("_recorded"))
+    zero = F.lit(0).cast("long")
+    state = F.when(F.col("year") < first_year, "closed_year").when(F.col("refused").isNotNull(), F.col("refused")) \
+        .when(F.col("official_through").isNull(), "no_official_rows")
+    work = F.coalesce(F.col("rows_added") + F.col("rows_replaced"), zero) > 0
+    moved = (F.col("year") == F.lit(open_year)) & ~F.col("official_through").eqNullSafe(F.col("_recorded"))
+    report = asked.join(bounds, "year", "left").join(changes, "year", "left").join(recorded, "year", "left").join(
+        refused, "year", "left").select(
+        "year", state.alias("refused"), "official_through", F.coalesce("rows_added", zero).alias("rows_added"),
+        F.coalesce("rows_replaced", zero).alias("rows_replaced"), zero.alias("rows_dropped"), "first_date", "last_date",
+        (F.lit(apply) & state.isNull() & F.coalesce(work | moved, F.lit(False))).alias("written"))
+    report = materialise(report, "report")
+    settled = report.where(F.col("refused").isNull())
+    final = held
+    facts = settled.select("year", "rows_added", "rows_replaced", "written").collect()         # a row per year
+    busy = [r.year for r in facts if r.rows_added + r.rows_replaced > 0]
+    if busy:
+        good = write.where(F.year("Date").isin(*busy))
+        final = save_kr_bars(lake, good, limits=limits, apply=apply).unionByName(
+            pruned(held, "year", [y for y in named if y not in busy]), allowMissingColumns=True)
+    if any(r.written for r in facts):
+        now = settled.where("written")
+        kept = lake.read(lake.boundary()).join(now, "year", "left_anti").select("year", "official_through")
+        upsert_state(lake.boundary(), materialise(kept.unionByName(now.select("year", "official_through")), "boundary"))
+        entry = now.select("year", F.current_timestamp().alias("at"), "official_through", "rows_added", "rows_replaced",
+                           "rows_dropped", "first_date", "last_date")
+        upsert_state(lake.settlement_log(), append_log(lake.read(lake.settlement_log()), entry))
+    checked = _reconciled_years(final, source, bounds, floor)
+    out = materialise(report.join(checked, "year", "left"), "settled")
+    wrong = out.where(F.col("refused").isNotNull() & ~F.col("refused").isin("closed_year", "no_official_rows"))
+    if refuse and (first := wrong.orderBy("year").first()):
+        raise G.GateRefused(first.refused, {k: str(v) for k, v in first.asDict().items()})
+    return out
+
+
+def _reconciled_years(final: DataFrame, source: DataFrame, bounds: DataFrame, floor: Column) -> DataFrame:
+    """Stored rows against official ones, a row per year: missing, extra and differing keys up to the year's boundary."""
+    values = ["Open", "High", "Low", "Close", "Volume"]
+    mine = by_year(final.where(F.col("Date") >= floor).select("Code", "Date", *values), "Date").join(bounds, "year").where(
+        F.col("Date") <= F.col("official_through")).withColumn("_f", F.lit(True)).alias("f")
+    wanted = source.where(F.col("Date") >= floor).select("Code", "Date", "year", *values).withColumn(
+        "_o", F.lit(True)).alias("o")
+    rows = wanted.join(mine, ["Code", "Date", "year"], "full")
+    differs = F.lit(False)
+    for v in values:
+        differs = differs | ~same_value(F.col(f"o.{v}"), F.col(f"f.{v}"))
+    both = F.col("_o").isNotNull() & F.col("_f").isNotNull()
+    return rows.groupBy("year").agg(
+        F.count_if(F.col("_f").isNull()).alias("missing_rows"), F.count_if(F.col("_o").isNull()).alias("extra_rows"),
+        F.count_if(both & differs).alias("mismatched_rows"))
 
 
 def kr_daily(
@@ -445,12 +528,18 @@ def kr_daily(
     table.create(spark)
     year = int(today[:4])
 
+    last = materialise(lake.ends(table).agg(F.max("last").alias("date")), "last")     # over all years
+    held_from = last.select(F.year("date")).first()[0]
+
     def reference() -> DataFrame:
-        return lake.read(table).where(F.col("year") >= year - 1).drop("year")
+        """Stored rows of the years from the one before the last stored session on: what baselines look at."""
+        return lake.read(table).where(F.col("year") >= min(held_from or year, year) - 1).drop("year")
+
+    def same_dates(rows: DataFrame) -> DataFrame:
+        """Stored rows of the years some rows lie in, however long ago: what their closes are compared with."""
+        return pruned(lake.read(table), "year", partition_values(rows.select(F.year("Date").alias("year")), "year")).drop("year")
 
-    stored = reference().where(F.year("Date") == year)
-    missed = materialise(C.gap_since_last(stored.select(F.col("Date").alias("date")), status, day).select(
-        F.col("date").alias("Date")), "missed")
+    missed = materialise(C.gap_since_last(last, status, day).select(F.col("date").alias("Date")), "missed")
     past = archive.join(missed, "Date", "left_semi")
     accepted = G.session_acceptance(past, "Date", "Marcap").select("Date", F.col("ok").alias("_full"))
     covered = G.write_coverage(past, reference(), missed, "Code", "Date", limits.drop_pct, limits.min_universe)
@@ -462,7 +551,7 @@ def kr_daily(
     rest = missed.join(filled, "Date", "left_anti")
     if rest.limit(1).count():
         window = secondary.join(rest, "Date", "left_semi")
-        gap_rows = _verified(secondary, reference(), window)
+        gap_rows = _verified(secondary, same_dates(secondary), window)
         if gap_rows.limit(1).count():
             save_kr_bars(lake, gap_rows, prices_only=True, limits=limits)
 
@@ -474,10 +563,10 @@ def kr_daily(
             checks.append(("source_date", undated_rows(snapshot, proof, "Date")))
         G.require_all(checks)
     if fallback:
-        rows = _verified(secondary, reference(), current)
+        rows = _verified(secondary, same_dates(secondary), current)
     else:
         gone = CU.missing_today(reference(), snapshot, "Code", "Date", day, "Name", "Market").select("Code")
-        extra = _verified(secondary, reference(), current.join(gone, "Code", "left_semi"))
+        extra = _verified(secondary, same_dates(secondary), current.join(gone, "Code", "left_semi"))
         ranked = O.rank_within(snapshot.drop("Rank").withColumn("Market", R.market_name(F.col("MarketId"))),
                                ["Date", "Market"], "Marcap", "Rank")
         rows = M.first_source([conform(ranked, KR_BARS), conform(extra, KR_BARS)], ["Code", "Date"])
@@ -516,7 +605,8 @@ def kr_backfill(
     derived = O.with_changes(candidate.drop("Changes", "ChangesRatio"), "Code", "Date", "Close", "Changes",
                              "ChangesRatio").withColumn("Amount", F.col("Close") * F.col("Volume"))
     rows = materialise(R.positive_close(derived), "candidate")
-    states = materialise(G.verify_entities(rows, lake.read(table), "Code", "Date"), "states")
+    dated = partition_values(rows.select(F.year("Date").alias("year")), "year")
+    states = materialise(G.verify_entities(rows, pruned(lake.read(table), "year", dated), "Code", "Date"), "states")
     kept = G.accepted_rows(rows, states, "Code", "Date", start if keep_from is None else keep_from)
     _refuse_rows("dates_outside_request", R.outside_range(kept, "Date", start, end))
     save_kr_bars(lake, kept, prices_only=True, limits=limits)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelyard.operators.calendar import day_range, session_status
 from panelyard.plans import jobs as J
 from panelyard.plans.lake import Lake
+from panelyard.schemas import KR_BARS, conform
 from panelyard.session import scratch_path
 from panelyard.workload.base import query, table
 
@@ -101,3 +103,87 @@ def job_rebase(spark, sf):
     targets = raw.select("Ticker").where(acted).distinct()
     J.rebase_bars(lake, "us", raw, _nobody(raw), targets=targets)
     return lake.read(lake.bars("us")).select(*_COLUMNS)
+
+
+# ---- the KR panel: lines shipped by a supplier group, a day
+
+_KR_COLUMNS = ["Code", "Date", "Close", "Volume"]
+_KR_SQL = """
+SELECT lpad(CAST(l_suppkey % 40 AS VARCHAR), 6, '0') AS Code, CAST(l_shipdate AS DATE) AS Date,
+       CAST(1000 + l_suppkey % 40 AS DOUBLE) AS Close, CAST(count(*) AS BIGINT) AS Volume
+FROM lineitem {where} GROUP BY 1, 2, 3"""
+
+
+def _kr(lines: DataFrame, close=None, date=None, cap: bool = True) -> DataFrame:
+    """Bars of supplier groups: a constant close each, the lines shipped as volume."""
+    group = F.col("l_suppkey") % 40
+    price = (1000 + group).cast("double")
+    price = price if close is None else price * close
+    rows = lines.groupBy(F.lpad(group.cast("string"), 6, "0").alias("Code"), (F.to_date("l_shipdate") if date is None else date)
+                         .alias("Date"), price.alias("Close")).agg(F.count(F.lit(1)).alias("Volume"))
+    cap = F.lit(1e6) + F.col("Close") if cap else F.lit(None).cast("double")
+    return conform(rows.withColumns({"Open": F.col("Close"), "High": F.col("Close"), "Low": F.col("Close"), "Marcap": cap,
+                                     "Name": F.concat(F.lit("N"), "Code"), "MarketId": F.lit("STK"),
+                                     "Market": F.lit("KOSPI")}), KR_BARS)
+
+
+_KR_LIMITS = J.Limits(min_universe=1000)
+
+
+@query("job_settle_years", _KR_SQL.format(where="WHERE l_returnflag <> 'R' OR year(l_shipdate) <> 1998"))
+def job_settle_years(spark, sf):
+    """All years settled at once by official rows; the year whose official closes all moved is refused and stays."""
+    lake, lines = Lake(spark, scratch_path(spark, "lake")), table(spark, sf, "lineitem")
+    J.save_kr_bars(lake, _kr(lines.where("l_returnflag <> 'R'")), limits=_KR_LIMITS)
+    off = F.when(F.year("l_shipdate") == 1998, 1.5).otherwise(1.0)
+    J.settle_kr_years(lake, _kr(lines, off), range(1995, 2002), _day("1990-01-01"), _KR_LIMITS, first_year=1995, refuse=False)
+    return lake.read(lake.bars("kr")).select(*_KR_COLUMNS)
+
+
+@query("job_settle_report", """
+WITH o AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_shipdate AS DATE) AS day, l_suppkey % 40 AS c, count(*) AS n,
+                  count(*) FILTER (l_returnflag <> 'R') AS held FROM lineitem GROUP BY 1, 2, 3)
+SELECT year, CASE WHEN year = 1998 THEN 'mass_change' END AS refused, max(day) AS official_through,
+       CAST(count(*) FILTER (held = 0) AS BIGINT) AS rows_added,
+       CASE WHEN year = 1998 THEN CAST(count(*) FILTER (held = 0) AS BIGINT) ELSE 0 END AS missing_rows,
+       CASE WHEN year = 1998 THEN CAST(count(*) FILTER (held > 0) AS BIGINT) ELSE 0 END AS mismatched_rows
+FROM o GROUP BY year""")
+def job_settle_report(spark, sf):
+    """The same settlement's verdicts, a row per year, with what differs afterwards."""
+    lake, lines = Lake(spark, scratch_path(spark, "lake")), table(spark, sf, "lineitem")
+    J.save_kr_bars(lake, _kr(lines.where("l_returnflag <> 'R'")), limits=_KR_LIMITS)
+    off = F.when(F.year("l_shipdate") == 1998, 1.5).otherwise(1.0)
+    out = J.settle_kr_years(lake, _kr(lines, off), range(1995, 2002), _day("1990-01-01"), _KR_LIMITS, first_year=1995,
+                            refuse=False)
+    return out.select("year", "refused", "official_through", "rows_added", "missing_rows", "mismatched_rows")
+
+
+@query("job_kr_backfill", _KR_SQL.format(where="WHERE year(l_shipdate) >= 1998 OR l_suppkey % 40 < 30"))
+def job_kr_backfill(spark, sf):
+    """Years before the stored ones from a second provider, whose closes of ten supplier groups disagree: those stay out."""
+    lake, lines = Lake(spark, scratch_path(spark, "lake")), table(spark, sf, "lineitem")
+    J.save_kr_bars(lake, _kr(lines.where(F.year("l_shipdate") >= 1998)), limits=_KR_LIMITS)
+    other = _kr(lines, F.when(F.col("l_suppkey") % 40 < 30, 1.0).otherwise(2.0), cap=False)
+    J.kr_backfill(lake, other, _day("1992-01-01"), _day("2009-12-31"), limits=_KR_LIMITS)
+    return lake.read(lake.bars("kr")).select(*_KR_COLUMNS)
+
+
+@query("job_kr_daily", _KR_SQL.format(where="""
+WHERE (l_suppkey % 40 <> 7 OR year(l_shipdate) = 1995) AND (l_shipdate <= DATE '1998-12-20' OR
+      (l_suppkey % 40 <> 7 AND l_shipdate < DATE '1999-01-11' AND isodow(l_shipdate) < 6))""") + """
+UNION ALL SELECT lpad(CAST(l_suppkey % 40 AS VARCHAR), 6, '0'), DATE '1999-01-11', CAST(1000 + l_suppkey % 40 AS DOUBLE), CAST(count(*) AS BIGINT)
+FROM lineitem GROUP BY 1, 2, 3""")
+def job_kr_daily(spark, sf):
+    """A day after a gap over New Year, without a snapshot: the sessions missed come from the archive, today's rows from the
+    second provider for everyone whose closes agree, also for a group whose last stored bar is three years old."""
+    lake, lines = Lake(spark, scratch_path(spark, "lake")), table(spark, sf, "lineitem")
+    gone = F.col("l_suppkey") % 40 == 7
+    past = lines.where("l_shipdate <= DATE '1998-12-20'").where(~gone | (F.year("l_shipdate") == 1995))
+    J.save_kr_bars(lake, _kr(past), limits=_KR_LIMITS)
+    days = day_range(spark, "1998-12-01", "1999-01-31")
+    status = session_status(days, days.select("date", F.lit("none").alias("name")).where(F.lit(False)),
+                            days.select(F.year("date").alias("year")))
+    second = _kr(lines.where("l_shipdate <= DATE '1998-12-20'"), cap=False).unionByName(
+        _kr(lines, date=_day("1999-01-11"), cap=False))
+    J.kr_daily(lake, "1999-01-11", status, None, _kr(lines.where(~gone)), second, limits=_KR_LIMITS)
+    return lake.read(lake.bars("kr")).select(*_KR_COLUMNS)
