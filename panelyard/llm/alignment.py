@@ -3,24 +3,25 @@
 from __future__ import annotations
 
 import gc
+import hashlib
 import json
-import os
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from panelyard.llm.bpe import byte_letters
 from panelyard.session import materialise
 
 CHUNK_CHARS = 500_000       # text tokenised together
-MEMO_WINDOWS = 400_000      # windows a worker remembers; then it starts anew
+MEMO_WINDOWS = 300_000      # windows a worker remembers; then it starts anew
+BETWEEN = (1 << 16) - 1     # no id
 MEMO_TOKENS = 64            # longer windows are aligned where they stand
 #: Pairs held by most documents are broadcast, at most this many (some 50 bytes each); the others are joined by shuffle.
 FREQUENT_PAIRS = 500_000
@@ -28,20 +29,27 @@ FREQUENT_PAIRS = 500_000
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
-def _bytes_of_letters(path: str) -> tuple[str, list[bytes]]:
-    """A byte-level BPE file's content and the bytes of each of its ids."""
+# Fixed value: how byte-level BPE files of this kind cut a text before merging.
+PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+
+
+def _bytes_of_letters(path: str) -> list[bytes]:
+    """The bytes of each id of a byte-level BPE file; special tokens have none, as no text gives them."""
     with open(path, encoding="utf-8") as f:
-        content = f.read()
-    spec = json.loads(content)
+        spec = json.load(f)
     value = {c: b for b, c in enumerate(byte_letters())}
-    names = dict(spec["model"]["vocab"])
-    table = [b""] * (max([*names.values(), *(t["id"] for t in spec["added_tokens"])]) + 1)
-    for name, i in names.items():
-        if all(c in value for c in name):
+    vocab, special = spec["model"]["vocab"], {t["content"] for t in spec["added_tokens"]}
+    cut = spec["pre_tokenizer"]
+    if cut["type"] != "ByteLevel" or cut["add_prefix_space"] or not cut["use_regex"] or spec["normalizer"]:
+        raise ValueError("not a byte-level BPE file of the kind this operator encodes")
+    merged = [vocab["".join(m.split(" ") if isinstance(m, str) else m)] for m in spec["model"]["merges"]]
+    if any(x >= y for x, y in zip(merged, merged[1:])):
+        raise ValueError("ids must follow the order of merges")
+    table = [b""] * (max(vocab.values()) + 1)
+    for name, i in vocab.items():
+        if name not in special:
             table[i] = bytes(value[c] for c in name)
-    for token in spec["added_tokens"]:
-        table[token["id"]] = token["content"].encode()
-    return content, table
+    return table
 
 
 def _bytes_of_pieces(model: bytes) -> list[bytes]:
@@ -54,7 +62,7 @@ class _Side:
     """One tokenizer's ids: their bytes, byte counts, and which begin with a space."""
 
     def __init__(self, table: list[bytes]):
-        if len(table) > 1 << 16:
+        if len(table) > BETWEEN:
             raise ValueError("ids must fit 16 bits")
         self.table = table
         self.size = [len(b) for b in table]
@@ -62,56 +70,66 @@ class _Side:
         self.marked = np.array([b[:1] == b" " for b in table])
 
 
-Groups = list[tuple[list[int], list[int]]]
+Group = tuple[str, tuple[tuple[int, int], ...]]         # written out; its pairs and how often each is linked
 
 
-def align_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> Groups:
-    """Groups of a window: both id lists cut wherever a token of each ends at the same byte."""
-    groups, i, j, k, m, ahead = [], 0, 0, 0, 0, 0        # ahead: bytes that A's tokens reach beyond B's
-    while k < len(a) or m < len(b):
-        if ahead <= 0:
-            ahead += size_a[a[k]]
-            k += 1
-        else:
-            ahead -= size_b[b[m]]
-            m += 1
-        if not ahead:
-            groups.append((a[i:k], b[j:m]))
-            i, j = k, m
-    return groups
+def _group(a: list[int], b: list[int]) -> Group:
+    """A group's pairs come from its distinct ids with their numbers, so long runs of one token cost little."""
+    pairs = tuple((x << 16 | y, n * m) for x, n in Counter(a).items() for y, m in Counter(b).items())
+    return ",".join(map(str, a)) + "|" + ",".join(map(str, b)), pairs
 
 
-def _links(groups: Groups) -> dict[int, int]:
-    """How often each pair is linked in the groups (A id in the upper 16 bits).
+def align_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int],
+                 single: dict[int, str]) -> tuple[list[str], dict[int, int]]:
+    """A window's groups, written out, and how often each pair is linked (A id in the upper 16 bits).
 
-    A group's pairs come from its distinct ids with their numbers, so long runs of one token cost little.
+    Both id lists are cut wherever a token of each ends at the same byte.  ``single`` remembers groups of one to one.
     """
-    linked: dict[int, int] = {}
-    for a, b in groups:
-        if len(a) * len(b) > 64:
-            weighed = [(x << 16 | y, n * m) for x, n in Counter(a).items() for y, m in Counter(b).items()]
+    written, linked, i, j, k, m = [], {}, 0, 0, 0, 0
+    while k < len(a):
+        ahead = size_a[a[k]] - size_b[b[m]]         # bytes that A's tokens reach beyond B's
+        k, m = k + 1, m + 1
+        if not ahead:
+            pair = a[i] << 16 | b[j]
+            text = single.get(pair)
+            if text is None:
+                text = single[pair] = f"{a[i]}|{b[j]}"
+            written.append(text)
+            linked[pair] = linked.get(pair, 0) + 1
         else:
-            weighed = [(x << 16 | y, 1) for x in a for y in b]
-        for pair, n in weighed:
-            linked[pair] = linked.get(pair, 0) + n
-    return linked
+            while ahead:
+                if ahead < 0:
+                    ahead += size_a[a[k]]
+                    k += 1
+                else:
+                    ahead -= size_b[b[m]]
+                    m += 1
+            text, pairs = _group(a[i:k], b[j:m])
+            written.append(text)
+            for pair, n in pairs:
+                linked[pair] = linked.get(pair, 0) + n
+        i, j = k, m
+    return written, linked
 
 
 class _Memo:
-    """Aligned windows by their id tuples, their pairs in one flat array."""
+    """Aligned windows by their ids, their pairs in one flat array."""
 
     def __init__(self, size_a: list[int], size_b: list[int]):
         self.size_a, self.size_b = size_a, size_b
-        self.digits = [str(i) for i in range(max(len(size_a), len(size_b)))]
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
+        self.number: dict[bytes, int] = {}
+        self.single: dict[int, str] = {}
         self.text: list[str] = []
         self.groups = self.count = self.first = self.pairs = self.times = np.zeros(0, np.int64)
 
-    def numbers(self, windows: list[tuple[bytes, bytes]]) -> np.ndarray:
-        """A number for each window, valid until the next call; equal short windows are aligned once."""
+    def numbers(self, windows: list[bytes]) -> np.ndarray:
+        """A number for each window, valid until the next call; equal short windows are aligned once.
+
+        A window is its ids of A, ``BETWEEN`` and its ids of B, as 16-bit numbers.
+        """
         if len(self.text) > MEMO_WINDOWS:
             self.clear()
         out = list(map(self.number.get, windows))
@@ -119,9 +137,9 @@ class _Memo:
             self._learn(windows, out)
         return np.array(out, np.int64)
 
-    def _learn(self, windows: list[tuple[bytes, bytes]], out: list) -> None:
+    def _learn(self, windows: list[bytes], out: list) -> None:
         """Aligns the windows that have no number yet and gives them one."""
-        known, digits, texts = self.number, self.digits, self.text
+        known, texts = self.number, self.text
         groups_of, count_of, pairs, times = [], [], [], []
         for i, n in enumerate(out):
             if n is not None:
@@ -129,17 +147,16 @@ class _Memo:
             w = windows[i]
             n = known.get(w)
             if n is None:
-                a, b = memoryview(w[0]).cast("H").tolist(), memoryview(w[1]).cast("H").tolist()
-                groups = align_window(a, b, self.size_a, self.size_b)
-                linked = _links(groups)
+                ids = memoryview(w).cast("H").tolist()
+                cut = ids.index(BETWEEN)
+                written, linked = align_window(ids[:cut], ids[cut + 1:], self.size_a, self.size_b, self.single)
                 n = len(texts)
-                texts.append(";".join([",".join([digits[t] for t in x]) + "|" + ",".join([digits[t] for t in y])
-                                       for x, y in groups]))
-                groups_of.append(len(groups))
+                texts.append(";".join(written))
+                groups_of.append(len(written))
                 count_of.append(len(linked))
                 pairs += linked.keys()
                 times += linked.values()
-                if len(a) + len(b) <= MEMO_TOKENS:
+                if len(ids) <= MEMO_TOKENS:
                     known[w] = n
             out[i] = n
         self.groups = np.r_[self.groups, np.array(groups_of, np.int64)]
@@ -149,15 +166,23 @@ class _Memo:
         self.times = np.r_[self.times, np.array(times, np.int64)]
 
 
+def _windows(a: np.ndarray, b: np.ndarray, from_a: np.ndarray, from_b: np.ndarray) -> list[bytes]:
+    """The windows that begin at these tokens: ids of A, ``BETWEEN``, ids of B."""
+    to_a, to_b = np.r_[from_a[1:], len(a)], np.r_[from_b[1:], len(b)]
+    window = np.arange(len(from_a))
+    flat = np.full(len(a) + len(b) + len(window), BETWEEN, np.uint16)
+    flat[np.arange(len(a)) + np.repeat(from_b + window, to_a - from_a)] = a
+    flat[np.arange(len(b)) + np.repeat(to_a + window + 1, to_b - from_b)] = b
+    raw, ends = flat.tobytes(), (2 * (to_a + to_b + window + 1)).tolist()
+    return [raw[i:j] for i, j in zip([0, *ends], ends)]
+
+
 class Aligner:
-    """Aligns texts; the tokenizers come as file contents, so executors need no files."""
-
-    def __init__(self, content_a: str, side_a: _Side, model_b: bytes, side_b: _Side):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.a = Tokenizer.from_str(content_a)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True        # their strings in a text are plain text
+    """Aligns texts; the tokenizers come as tables and file contents, so executors need no files."""
+
+    def __init__(self, side_a: _Side, model_b: bytes, side_b: _Side):
+        ranks = {b: i for i, b in enumerate(side_a.table) if b}
+        self.a = tiktoken.Encoding("a", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
         self.side_a, self.side_b = side_a, side_b
         self.memo = _Memo(side_a.size, side_b.size)
@@ -167,18 +192,20 @@ class Aligner:
         out = [(0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(texts)
         at = [i for i, t in enumerate(texts) if t]
         spaced = [" " + texts[i] for i in at]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
+        # special tokens' strings are plain text to both
+        ids_a = [self.a.encode_to_numpy(t, disallowed_special=()) for t in spaced]
         ids_b = self.b.encode([texts[i] for i in at], num_threads=1)
-        name_a, name_b = self.side_a.table.__getitem__, self.side_b.table.__getitem__
+        name_b = self.side_b.table.__getitem__
         whole = []
         for k, text in enumerate(spaced):
             raw = text.encode()
-            if b"".join(map(name_a, ids_a[k])) == raw and b"".join(map(name_b, ids_b[k])) == raw:
+            # A's tokens are pieces of the text, one after the other: they give it back if they are as long
+            if self.side_a.sizes[ids_a[k]].sum() == len(raw) and b"".join(map(name_b, ids_b[k])) == raw:
                 whole.append(k)
         if not whole:
             return out
         n_a, n_b = ([len(ids[k]) for k in whole] for ids in (ids_a, ids_b))
-        flat_a, flat_b = (np.concatenate([np.array(ids[k], np.int64) for k in whole]) for ids in (ids_a, ids_b))
+        flat_a, flat_b = (np.concatenate([np.asarray(ids[k], np.int64) for k in whole]) for ids in (ids_a, ids_b))
         # both sides have the same bytes text by text, so one running byte offset serves the chunk
         size_a, size_b = self.side_a.sizes[flat_a], self.side_b.sizes[flat_b]
         start_a, start_b = np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b
@@ -186,10 +213,7 @@ class Aligner:
         anchors = np.intersect1d(start_a[self.side_a.marked[flat_a]], start_b[self.side_b.marked[flat_b]],
                                  assume_unique=True)
         from_a, from_b = np.searchsorted(start_a, anchors), np.searchsorted(start_b, anchors)
-        raw_a, raw_b = flat_a.astype(np.uint16).tobytes(), flat_b.astype(np.uint16).tobytes()
-        cut_a, cut_b = (2 * from_a).tolist() + [len(raw_a)], (2 * from_b).tolist() + [len(raw_b)]
-        windows = [(raw_a[i:j], raw_b[k:m]) for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-        numbers = self.memo.numbers(windows)
+        numbers = self.memo.numbers(_windows(flat_a, flat_b, from_a, from_b))
 
         first_a = np.cumsum([0, *n_a])
         first_window = np.searchsorted(from_a, first_a)      # every text begins with a window
@@ -219,6 +243,17 @@ class Aligner:
         return pairs & 0xFFFFFFFF, np.add.reduceat(times, new), np.searchsorted(pairs >> 32, np.arange(docs + 1)).tolist()
 
 
+_READY: dict[str, Aligner] = {}
+
+
+def _aligner(name: str, parts: tuple) -> Aligner:
+    """The worker's aligner of these tokenizers; later tasks of the worker find its memory warm."""
+    if name not in _READY:
+        _READY.clear()
+        _READY[name] = Aligner(*parts)
+    return _READY[name]
+
+
 def _chunks(values: pa.Array) -> Iterator[list[str]]:
     chunk, size = [], 0
     for v in values:
@@ -234,7 +269,7 @@ def _chunks(values: pa.Array) -> Iterator[list[str]]:
 def alignments(docs: DataFrame, path_a: str, path_b: str, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: ``doc_id, row, n_a, n_b, n_groups, n_links, groups, pairs, times``.
 
-    A (a byte-level BPE file, 65,536 ids at most) encodes space + text, B (a sentencepiece model, which adds the space
+    A (a byte-level BPE file, 65,535 ids at most, merged as ranks) encodes space + text, B (a sentencepiece model, which adds the space
     itself) the text, both whole and without special tokens.  ``groups`` are the ids between places where a token of
     each ends at the same byte, as ``a1,a2|b1;a3|b2,b3``.  ``pairs`` are the distinct pairs linked by sharing a group
     (A id in the upper 16 bits of an int), ``times`` how often each is.  Null and empty texts, and texts whose tokens
@@ -246,10 +281,11 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, text: str = "text", ke
     one window.  Both files are read on the driver and broadcast (a few MB).  No shuffle; a lost executor costs its
     own batches.
     """
-    content, table_a = _bytes_of_letters(path_a)
+    table_a = _bytes_of_letters(path_a)
     with open(path_b, "rb") as f:
         model = f.read()
-    shipped = docs.sparkSession.sparkContext.broadcast((content, _Side(table_a), model, _Side(_bytes_of_pieces(model))))
+    name = hashlib.sha256(b"\0".join(table_a) + model).hexdigest()
+    shipped = docs.sparkSession.sparkContext.broadcast((_Side(table_a), model, _Side(_bytes_of_pieces(model))))
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {kind}, row long, n_a long, n_b long, n_groups long, n_links long, groups string, "
@@ -258,7 +294,7 @@ def alignments(docs: DataFrame, path_a: str, path_b: str, text: str = "text", ke
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()        # no cycles are made, and walking the remembered windows costs a third of the time
         try:
-            aligner = Aligner(*shipped.value)
+            aligner = _aligner(name, shipped.value)
             row = TaskContext.get().partitionId() << 40
             for batch in batches:
                 at = 0

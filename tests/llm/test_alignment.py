@@ -100,12 +100,12 @@ def test_no_rows(docs_of):
 
 
 def test_long_text_without_spaces_and_forgotten_windows(monkeypatch):
-    content, table = alignment._bytes_of_letters(BYTE_VOCABULARY)
+    table = alignment._bytes_of_letters(BYTE_VOCABULARY)
     with open(PIECE_MODEL, "rb") as f:
         model = f.read()
     sides = alignment._Side(table), alignment._Side(alignment._bytes_of_pieces(model))
     monkeypatch.setattr(alignment, "MEMO_WINDOWS", 3)
-    aligner = alignment.Aligner(content, sides[0], model, sides[1])
+    aligner = alignment.Aligner(sides[0], model, sides[1])
     texts = ["x9Q" * 20_000, "one two three four five six", "three four five six seven one"] * 2
     for t in texts:
         a, b, groups, links = brute(t)
@@ -114,6 +114,16 @@ def test_long_text_without_spaces_and_forgotten_windows(monkeypatch):
         assert dict(zip(found[5].tolist(), found[6].tolist())) == Counter(x << 16 | y for x, y in links)
 
 
+def test_ids_are_those_of_the_tokenizers_library():
+    """Code points of all scripts alone, in runs, and beside letters, digits, blanks and signs."""
+    encode = alignment.Aligner(alignment._Side(alignment._bytes_of_letters(BYTE_VOCABULARY)), open(PIECE_MODEL, "rb").read(),
+                               alignment._Side([])).a.encode_ordinary
+    points = [*range(0xD800), *range(0xE000, 0x30000, 3), *range(0xE0000, 0xE0200)]
+    texts = ["".join(" a%sb 1%s%s %s  %s'%s" % ((chr(c),) * 6) for c in points[i:i + 50]) for i in range(0, len(points), 50)]
+    texts += [" " * 9_999 + "x", "\n" * 9_999, " \n" * 5_000 + "q", "<|endoftext|>" * 5]
+    assert [encode(t) for t in texts] == [e.ids for e in A.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_query_matches_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
