@@ -1,5 +1,8 @@
+import random
 import re
+import time
 
+from panelyard.llm import secrets
 from panelyard.llm.queries import QUERIES
 from panelyard.llm.secrets import joined, scan
 from pyspark.sql import functions as F
@@ -45,6 +48,57 @@ def test_weak_parts_need_their_complement(docs_of):
     assert texts[2][start:end] == RANDOM
 
 
+def linked_brute(text, scope=200):
+    """Every pair of parts compared."""
+    base = [(m.start(), m.end(), k, 0 if kind == "access" else 1) for k, (kind, p, g, n) in enumerate(PATTERNS)
+            for m in re.finditer(p, text) if len(m[g]) >= n]
+    cross = lambda x, y: x[0] < y[1] and y[0] < x[1]
+    ids = [(m.start(), m.end(), 3, 0) for m in re.finditer(secrets.IDENTIFIER, text)]
+    bare = [s for s in ((m.start(), m.end(), 4, 1) for m in re.finditer(secrets.SECRET, text))
+            if not any(cross(s, i) for i in ids)]
+    host = re.compile(r"[a-z0-9-]+(\.[a-z0-9-]+)+:[0-9]+")
+    places = [(m.start(), m.end(), 5, 2) for m in re.finditer(secrets.ENDPOINT, text)
+              if "://" in m[0] or host.fullmatch(m[0])]
+    weak = [w for w in ids + bare + places if not any(cross(w, b) for b in base)]
+    parts, out = base + weak, []
+    near = lambda w, role: any(p is not w and p[3] == role and max(w[0] - p[1], p[0] - w[1]) <= scope for p in parts)
+    for w in weak:
+        if all(near(w, r) for r in {0: [1], 1: [0], 2: [0, 1]}[w[3]]):
+            out.append(w)
+    return ",".join(f"{secrets.WEAK[k - 3]}:{a}:{b}" for a, b, k, _ in sorted(out, key=lambda w: (w[0], w[2])))
+
+
+def test_linking_matches_all_pairs(docs_of):
+    rng = random.Random(3)
+    pieces = [KEY, RANDOM, "login=admin", "client_id: app_77", "secret=abcdefgh", "AKIA" + "B" * 16, "f" * 24, "x" * 90, " " * 70,
+              "https://db.example.org/x", "db.example.org:5432", "a..b.c:80", "localhost:80", "é😀 word ", "login=" + RANDOM,
+              "token=" + RANDOM, "\n"]
+    texts = [" ".join(rng.choice(pieces) for _ in range(rng.choice([3, 8, 20, 60, 700]))) for _ in range(60)]
+    got = found(docs_of, texts)
+    assert {i: linked_brute(t) for i, t in enumerate(texts)} == {i: l for i, (_, l) in got.items()}
+    assert sum(bool(l) for _, l in got.values()) > 30
+
+
+def test_large_texts_end_in_seconds(spark, docs_of):
+    """Texts of a MB: dotted labels, findings on every line, and none."""
+    line = "client_id: app_{0} secret=abcdefgh{0} db{0}.example.org:5432\n"
+    texts = ["AKIA" + "A" * 16 + " password=abcdefgh " + "a." * 500_000, "".join(line.format(i) for i in range(33_400)),
+             "word " * 200_000, "k" * 1_000_000, KEY + " " + "aB3" * 300_000]
+    began = time.monotonic()
+    rows = scan(docs_of(list(enumerate(texts)))).select("doc_id", F.size("base").alias("b"), F.size("linked").alias("l")).collect()
+    assert time.monotonic() - began < 60
+    assert {r.doc_id: (r.b, r.l) for r in rows} == {0: (2, 0), 1: (33_400, 66_800), 2: (0, 0), 3: (0, 0), 4: (0, 2)}
+
+
+def test_columns_of_the_user_stay(docs_of):
+    names = ("text_", "ids_", "secrets_", "places_", "parts_", "before_", "after_", "spans_")
+    docs = docs_of([(1, "token=abcdefgh")])
+    for n in names:
+        docs = docs.withColumn(n, F.lit("mine"))
+    row = scan(docs).first()
+    assert all(row[n] == "mine" for n in names) and len(row.base) == 1
+
+
 def test_clashing_columns_and_no_rows(docs_of, clashing):
     out = scan(clashing(docs_of([(1, "token=abcdefgh")])))
     assert out.select("doc_id", "base.start", "shard").first()[1] == [0]
