@@ -57,20 +57,18 @@ def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("op4_chat_perspectives", """
-WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role,
-                  replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body,
-                  CAST(floor(coalesce(turn, 0) / 512) AS BIGINT) AS part FROM conversations),
+WITH r AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+t AS (SELECT conv_id, role, text || '<|end|>' || chr(10) AS body, row_number() OVER (
+             PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM r),
 s AS (SELECT DISTINCT conv_id AS c, role AS speaker FROM t WHERE role <> 'system'),
-v AS (SELECT t.*, speaker, role = speaker AS own,
+v AS (SELECT t.*, speaker, role = speaker AS own, CAST(place // 512 AS BIGINT) AS part,
              CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
                   ELSE '<|user name=' || role || '|>' END || chr(10) AS head
       FROM t JOIN s ON conv_id IS NOT DISTINCT FROM c),
 o AS (SELECT *, CAST(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part
-                       ORDER BY turn NULLS FIRST, role, body ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM v)
-SELECT conv_id, speaker, part, count(*) AS n_turns,
-       string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, body) AS rendered,
-       coalesce(string_agg(CASE WHEN own THEN (upto - length(body)) || ':' || upto END, ','
-                           ORDER BY turn NULLS FIRST, role, body), '') AS masks
+                       ORDER BY place ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto FROM v)
+SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY place) AS rendered,
+       coalesce(string_agg(CASE WHEN own THEN (upto - length(body)) || ':' || upto END, ',' ORDER BY place), '') AS masks
 FROM o GROUP BY conv_id, speaker, part""")
 def op4_chat_perspectives(spark: SparkSession, sf: str) -> DataFrame:
     views = chat.rotate_perspectives(table(spark, sf, "conversations"))

@@ -72,12 +72,12 @@ def test_every_speaker_gets_a_view(spark, clashing):
     got = {(r.conv_id, r.speaker): r for r in rotate_perspectives(clashing(turns_of(spark, rows))).collect()}
     assert set(got) == {(1, "ann"), (1, "bob"), (1, "unknown"), (None, "zoe")}
     ann = got[1, "ann"]
-    assert ann.rendered == ("<|system|>\nbe kind" + END + "<|assistant|>\nhi" + END + "<|user name=bob|>\nhello < |end|>"
-                            + END + "<|user name=unknown|>\né" + END + "<|assistant|>\n" + END)
-    assert ann.n_turns == 5
+    assert ann.rendered == ("<|system|>\nbe kind" + END + "<|assistant|>\nhi" + END + 2 * ("<|user name=bob|>\nhello < |end|>" + END)
+                            + "<|user name=unknown|>\né" + END + "<|assistant|>\n" + END)
+    assert ann.n_turns == 6
     assert [ann.rendered[m.start:m.end] for m in ann.masks] == ["hi" + END, END]
     bob = got[1, "bob"]
-    assert [bob.rendered[m.start:m.end] for m in bob.masks] == ["hello < |end|>" + END]
+    assert [bob.rendered[m.start:m.end] for m in bob.masks] == ["hello < |end|>" + END] * 2
 
 
 def test_long_dialogues_come_in_parts(spark):
@@ -86,3 +86,22 @@ def test_long_dialogues_come_in_parts(spark):
     assert sorted((r.speaker, r.part, r.n_turns) for r in got) == [
         (s, p, n) for s in "ab" for p, n in ((0, 10), (1, 10), (2, 5))]
     assert rotate_perspectives(turns_of(spark, [])).collect() == []
+
+
+def test_every_row_is_a_turn_and_places_cut_the_parts(spark):
+    """Repeated, tied and null turns stay; one dialogue with most rows is cut by place, not by number."""
+    rows = [(1, None, "ann", "ok"), (1, None, "ann", "ok"), (1, None, "bob", "ok"), (2, 5, "ann", "a"), (2, 5, "ann", "a"),
+            (None, 0, "bob", "x")]
+    got = {(r.conv_id, r.speaker): r.n_turns for r in rotate_perspectives(turns_of(spark, rows)).collect()}
+    assert got == {(1, "ann"): 3, (1, "bob"): 3, (2, "ann"): 2, (None, "bob"): 1}
+    hot = [(7, [None, 3][i % 2], "ann" if i % 3 else "bob", f"line {i % 50}") for i in range(3_000)]
+    many = turns_of(spark, hot + [(c, t, "ann", "hi") for c in range(5) for t in range(20)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        views = [r for r in rotate_perspectives(many, part_turns=100).collect() if r.conv_id == 7 and r.speaker == "ann"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.part, r.n_turns) for r in views) == [(p, 100) for p in range(30)]
+    whole = "".join(r.rendered for r in sorted(views, key=lambda r: r.part))
+    order = sorted(hot, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3]))
+    assert whole == "".join(("<|assistant|>" if r[2] == "ann" else "<|user name=bob|>") + "\n" + r[3] + END for r in order)
