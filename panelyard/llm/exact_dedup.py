@@ -23,7 +23,8 @@ def exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *, he
 
     Levels: lengths that occur once are settled by a count; of the rest, (length, hash of the first characters) that
     occur once are settled too; only what is left is hashed in full.  Text never enters a shuffle: surviving keys are
-    broadcast after their number was checked, and beyond the bound every text is hashed where it is read.  Large
+    broadcast after their number was checked; beyond the bound every text is hashed where it is read and the hashes
+    are joined to the keys by shuffle, with the same result.  Large
     groups are counted on the map side, and the decisions are joined to written rows, so a hot group can be split.
     """
     body = F.coalesce(F.col(text), F.lit(""))
@@ -34,13 +35,17 @@ def exact_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", *, he
     heads = materialise(rows.join(lengths, "len", "left_semi").groupBy("len", "head")
                         .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("len", "head"), "heads")
     full = F.sha2("body", 256)
+    slim = ["doc_id", "len", "hit", F.when(F.lit(hash_all) | F.col("hit"), F.col("text_sha256")).alias("text_sha256")]
+    marks = heads.withColumn("hit", F.lit(True))
+    hit = F.coalesce("hit", F.lit(False))
     if heads.count() <= broadcast_keys:
-        marked = rows.join(F.broadcast(heads.withColumn("hit", F.lit(True))), ["len", "head"], "left")
-        marked = marked.withColumn("hit", F.coalesce("hit", F.lit(False)))
+        marked = rows.join(F.broadcast(marks), ["len", "head"], "left").withColumn("hit", hit)
+        hashed = marked.withColumn("text_sha256", full if hash_all else F.when(F.col("hit"), full)).select(*slim)
     else:
-        marked = rows.withColumn("hit", F.lit(True))
-    hashed = materialise(marked.select("doc_id", "len", "hit", (full if hash_all else F.when(F.col("hit"), full))
-                                       .alias("text_sha256")), "hashed")
+        # hashing a text where it is read costs less than sending it to its key; only the hashes are joined
+        hashed = rows.select("doc_id", "len", "head", full.alias("text_sha256")).join(marks, ["len", "head"], "left") \
+            .withColumn("hit", hit).select(*slim)
+    hashed = materialise(hashed, "hashed")
 
     alone = hashed.where(~F.col("hit")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),

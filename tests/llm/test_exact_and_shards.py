@@ -35,6 +35,12 @@ def test_unique_texts_are_not_hashed_in_full(docs_of):
     assert {r.doc_id: r.text_sha256 is not None for r in got} == {1: False, 2: True, 3: True, 4: False}
 
 
+def test_bound_of_keys_changes_no_result(docs_of):
+    rows = [(i, f"text {i % 7}" if i % 3 else f"alone {i}") for i in range(60)] + [(90, None), (91, "")]
+    few, many = (sorted(map(tuple, exact_copies(docs_of(rows), broadcast_keys=n).collect())) for n in (0, 10_000))
+    assert few == many
+
+
 def test_no_rows(docs_of):
     assert exact_copies(docs_of([])).collect() == []
     assert ring_shards(docs_of([]), 5).collect() == []
