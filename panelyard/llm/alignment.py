@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from panelyard.llm.bpe import byte_letters
 from panelyard.session import materialise
 
-CHUNK_CHARS = 500_000       # text tokenised together
-MEMO_WINDOWS = 300_000      # windows a worker remembers; then it starts anew
+CHUNK_CHARS = 1_000_000      # text tokenised together
+MEMO_WINDOWS = 500_000      # windows a worker remembers; then it starts anew
 BETWEEN = (1 << 16) - 1     # no id
 MEMO_TOKENS = 64            # longer windows are aligned where they stand
 #: Pairs held by most documents are broadcast, at most this many (some 50 bytes each); the others are joined by shuffle.
@@ -70,13 +70,16 @@ class _Side:
         self.marked = np.array([b[:1] == b" " for b in table])
 
 
-Group = tuple[str, tuple[tuple[int, int], ...]]         # written out; its pairs and how often each is linked
+Group = tuple[str, list[tuple[int, int]]]         # written out; pairs and how often each is linked
 
 
 def _group(a: list[int], b: list[int]) -> Group:
     """A group's pairs come from its distinct ids with their numbers, so long runs of one token cost little."""
-    pairs = tuple((x << 16 | y, n * m) for x, n in Counter(a).items() for y, m in Counter(b).items())
-    return ",".join(map(str, a)) + "|" + ",".join(map(str, b)), pairs
+    if len(a) * len(b) <= 64:
+        pairs = [(x << 16 | y, 1) for x in a for y in b]
+    else:
+        pairs = [(x << 16 | y, n * m) for x, n in Counter(a).items() for y, m in Counter(b).items()]
+    return f"{','.join([str(x) for x in a])}|{','.join([str(y) for y in b])}", pairs
 
 
 def align_window(a: list[int], b: list[int], size_a: list[int], size_b: list[int],
