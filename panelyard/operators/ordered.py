@@ -209,3 +209,48 @@ def market_tag(symbols: DataFrame, membership: DataFrame, symbol: str, normalise
             .groupBy("_s").agg(F.min_by("tag", "priority").alias("tag")))
     return (symbols.withColumn("_s", normalise(F.col(symbol))).join(best, "_s", "left")
             .withColumn("tag", F.coalesce("tag", F.lit("US"))).drop("_s"))
+
+
+def asof_join(
+    left: DataFrame, right: DataFrame, entity: str, at: str, values: Sequence[str], strict: bool = False,
+    suffix: str = "_asof", block_rows: int = 1_000_000,
+) -> DataFrame:
+    """Every left row beside the values of the entity's latest right row at or before its time (before, if ``strict``).
+
+    Left columns stay; the right row's time comes as ``at + suffix``, its values as ``name + suffix``; all are NULL
+    where there is none.  Rows with a NULL entity or time match nothing.  Of right rows with one time the one with
+    the largest values counts.
+
+    Both sides become one column of rows in order of time, and the last right row is carried forward, so no row meets
+    more than its own match.  The rows of an entity with more than ``block_rows`` are cut into a hundred ranges of
+    time at approximate quantiles; each range gets the last right row before it as its first row.
+    """
+    rows, carried = [f"{v}{suffix}" for v in values], f"{at}{suffix}"
+    dated = F.col(entity).isNotNull() & F.col(at).isNotNull()
+    tag = left.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in left.columns]))
+    mine = tag.where(dated).select(F.col(entity).alias("_e"), F.col(at).alias("_t"), F.lit(0 if strict else 2).alias("_side"), "_row")
+    theirs = right.where(dated).groupBy(F.col(entity).alias("_e"), F.col(at).alias("_t")).agg(
+        F.max(F.struct(*values)).alias("_found")).withColumn("_found", F.struct(F.col("_t").alias("t"), F.col("_found").alias("v")))
+    both = mine.unionByName(theirs.withColumn("_side", F.lit(1)), allowMissingColumns=True)
+
+    # entities with many rows: the times at which their ranges begin
+    counts = both.groupBy("_e").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+    hot = counts.select("_e")
+    edges = both.join(hot, "_e").groupBy("_e").agg(F.approx_percentile(
+        F.unix_micros(F.col("_t").cast("timestamp")), F.array([F.lit(i / 100) for i in range(1, 100)]), F.lit(10_000)).alias("_q"))
+    cuts = edges.select("_e", F.array_sort(F.array_distinct("_q")).alias("_q"))
+    ranged = both.join(cuts, "_e", "left").withColumn("_part", F.coalesce(F.size(F.filter("_q", lambda q: q <= F.unix_micros(
+        F.col("_t").cast("timestamp")))), F.lit(0))).drop("_q")
+    lasts = ranged.join(cuts.select("_e"), "_e", "left_semi").where("_side = 1").groupBy("_e", "_part").agg(
+        F.max("_found").alias("_last"))
+    before = Window.partitionBy("_e").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    grid = cuts.select("_e", F.explode(F.sequence(F.lit(0), F.size("_q"))).alias("_part")).join(lasts, ["_e", "_part"], "left")
+    first = grid.select("_e", "_part", F.max("_last").over(before).alias("_found")).where("_found IS NOT NULL")
+    ranged = ranged.unionByName(first.withColumn("_side", F.lit(-1)), allowMissingColumns=True)
+
+    order = Window.partitionBy("_e", "_part").orderBy(F.asc_nulls_first("_t"), "_side").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    seen = ranged.withColumn("_last", F.last("_found", ignorenulls=True).over(order)).where(F.col("_row").isNotNull())
+    out = seen.select("_row.*", F.col("_last.t").alias(carried), *[F.col(f"_last.v.{v}").alias(r) for v, r in zip(values, rows)])
+    loose = left.where(~dated).select("*", *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in (carried, *rows)])
+    return out.unionByName(loose)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from panelyard.operators.ordered import asof_join
 from panelyard.workload.base import KEYS, bars, incoming, markets, named_panel, official, query, stored, table
 
 
@@ -103,3 +104,20 @@ def flagship(spark, sf):
     merged = merge_last(stored(spark, sf), incoming(spark, sf), KEYS).join(markets(spark, sf), "entity")
     changed = with_changes(merged.select(*KEYS, "market", "close", "volume"), "entity", "day", "close")
     return rank_within(changed, ["day", "market"], "volume", cut=True)
+
+
+@query("asof_orders", """
+WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey % 20 AS g, l_shipdate AS at FROM lineitem),
+     o AS (SELECT o_custkey % 20 AS g, CAST(o_orderdate AS TIMESTAMP) AS at, max(o_totalprice) AS price FROM orders GROUP BY 1, 2)
+SELECT l.l_orderkey, l.l_linenumber, l.g, CAST(l.at AS DATE) AS day, CAST(o.at AS DATE) AS order_day, o.price AS price
+FROM l ASOF LEFT JOIN o ON l.g = o.g AND l.at >= o.at
+""")
+def asof_orders(spark, sf):
+    """Every line beside the newest order of its group up to its day; groups are cut into ranges of time."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 20).alias("g"),
+                                                F.col("l_shipdate").cast("timestamp").alias("at"))
+    orders = table(spark, sf, "orders").select((F.col("o_custkey") % 20).alias("g"), F.col("o_orderdate").cast("timestamp").alias("at"),
+                                               F.col("o_totalprice").alias("price"))
+    out = asof_join(lines, orders, "g", "at", ["price"], block_rows=2_000)
+    return out.select("l_orderkey", "l_linenumber", "g", F.to_date("at").alias("day"), F.to_date("at_asof").alias("order_day"),
+                      F.col("price_asof").alias("price"))
