@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelyard.operators import aggregates as A
-from panelyard.workload.base import bars, error_bars, incoming, markets, named_panel, query, stored, table
+from panelyard.workload.base import bars, sparse_bars, incoming, markets, named_panel, query, stored, table
 
 
 @query("session_counts", """
@@ -141,8 +141,8 @@ def checkpoint_summary(spark, sf):
 @query("failure_rate", """
 SELECT CAST(count(*) AS BIGINT) AS total, CAST(sum(CASE WHEN e.entity IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS failed,
        count(*) = 0 OR sum(CASE WHEN e.entity IS NULL THEN 1 ELSE 0 END) < count(*) * 0.9 AS ok
-FROM instruments i LEFT JOIN (SELECT DISTINCT entity FROM error_bars) e ON e.entity = i.entity
-""", ("error_bars", "instruments"))
+FROM instruments i LEFT JOIN (SELECT DISTINCT entity FROM sparse_bars) e ON e.entity = i.entity
+""", ("sparse_bars", "instruments"))
 def failure_rate(spark, sf):
-    seen = error_bars(spark, sf).select("entity").distinct().withColumn("_seen", F.lit(True))
+    seen = sparse_bars(spark, sf).select("entity").distinct().withColumn("_seen", F.lit(True))
     return A.failure_rate(markets(spark, sf).join(seen, "entity", "left"), F.col("_seen").isNull())

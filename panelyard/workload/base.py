@@ -27,13 +27,17 @@ _BAR_SQL = """
            CAST(sum(CAST(value AS DECIMAL(18,4))) AS DOUBLE) AS amount
     FROM events {where} GROUP BY 1, 2"""
 
+KINDS = ("view", "purchase", "signup", "click", "error")
+_KIND_SQL = "user_id * 5 + CASE event_type " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(KINDS)) + " END"
+
 # Name -> (views it needs, SQL).
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "bars": ((), _BAR_SQL.format(where="")),
     "stored": ((), _BAR_SQL.format(where="WHERE hour(ts) < 16")),
     "incoming": ((), _BAR_SQL.format(where="WHERE hour(ts) >= 8")),
     "official": (("bars",), f"SELECT * FROM bars WHERE day <= DATE '{OFFICIAL_UNTIL}'"),
-    "error_bars": ((), _BAR_SQL.format(where="WHERE event_type = 'error'")),
+    "sparse_bars": ((), _BAR_SQL.replace("FROM events", f"FROM (SELECT * REPLACE ({_KIND_SQL} AS user_id) FROM events)").format(
+        where="")),
     "instruments": ((), """
     SELECT c_custkey AS entity, c_mktsegment AS market, r_name AS region,
            'U' || CAST(c_custkey AS VARCHAR)
@@ -111,9 +115,10 @@ def official(spark: SparkSession, sf: str) -> DataFrame:
     return bars(spark, sf).where(F.col("day") <= day(OFFICIAL_UNTIL))
 
 
-def error_bars(spark: SparkSession, sf: str) -> DataFrame:
-    """Bars of one event type: a sparse panel."""
-    return to_bars(table(spark, sf, "events").where(F.col("event_type") == "error"))
+def sparse_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars of every user and kind of event as an entity of its own: all events, but few days with a bar each."""
+    kind = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])[F.col("event_type")]
+    return to_bars(table(spark, sf, "events").withColumn("user_id", F.col("user_id") * 5 + kind))
 
 
 def instruments(spark: SparkSession, sf: str) -> DataFrame:

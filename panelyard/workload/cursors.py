@@ -7,29 +7,29 @@ from pyspark.sql import functions as F
 from panelyard.operators import cursor as C
 from panelyard.session import materialise
 from panelyard.workload.base import (
-    TODAY, bars, day, error_bars, incoming, instruments, markets, named_panel, panel, query, stored, table,
+    TODAY, bars, day, sparse_bars, incoming, instruments, markets, named_panel, panel, query, stored, table,
 )
 
 
 @query("sparse_sessions", """
 SELECT day, n, u AS universe FROM (
   SELECT day, CAST(count(DISTINCT entity) AS BIGINT) AS n,
-         (SELECT CAST(count(DISTINCT entity) AS BIGINT) FROM error_bars) AS u FROM error_bars GROUP BY day)
+         (SELECT CAST(count(DISTINCT entity) AS BIGINT) FROM sparse_bars) AS u FROM sparse_bars GROUP BY day)
 WHERE n < u * 35 / 100.0
-""", ("error_bars",))
+""", ("sparse_bars",))
 def sparse_sessions(spark, sf):
-    return C.sparse_dates(error_bars(spark, sf), "entity", "day", 35.0)
+    return C.sparse_dates(sparse_bars(spark, sf), "entity", "day", 35.0)
 
 
 @query("sparse_excluded", """
-SELECT day, CAST(count(*) AS BIGINT) AS "rows" FROM error_bars
-WHERE day NOT IN (SELECT day FROM error_bars GROUP BY day
-                  HAVING count(DISTINCT entity) < (SELECT count(DISTINCT entity) FROM error_bars) * 35 / 100.0)
+SELECT day, CAST(count(*) AS BIGINT) AS "rows" FROM sparse_bars
+WHERE day NOT IN (SELECT day FROM sparse_bars GROUP BY day
+                  HAVING count(DISTINCT entity) < (SELECT count(DISTINCT entity) FROM sparse_bars) * 35 / 100.0)
 GROUP BY day
-""", ("error_bars",))
+""", ("sparse_bars",))
 def sparse_excluded(spark, sf):
     from panelyard.operators.rows import exclude_dates
-    rows = error_bars(spark, sf)
+    rows = sparse_bars(spark, sf)
     kept = exclude_dates(rows, C.sparse_dates(rows, "entity", "day", 35.0), "day")
     return kept.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -107,12 +107,12 @@ def cursor_held(spark, sf):
 
 
 @query("cursor_refused", _CURSOR.format(
-    feed="SELECT entity, day, market FROM error_bars JOIN instruments USING (entity)",
+    feed="SELECT entity, day, market FROM sparse_bars JOIN instruments USING (entity)",
     required="SELECT entity FROM instruments", failed="SELECT entity FROM instruments WHERE market = 'NONE'",
-    previous="DATE '2024-01-20'", today="DATE '2024-01-30'", tolerance=5, sparse=35), ("error_bars", "instruments"))
+    previous="DATE '2024-01-20'", today="DATE '2024-01-30'", tolerance=5, sparse=35), ("sparse_bars", "instruments"))
 def cursor_refused(spark, sf):
     names = markets(spark, sf)
-    feed = error_bars(spark, sf).select("entity", "day").join(names, "entity")
+    feed = sparse_bars(spark, sf).select("entity", "day").join(names, "entity")
     return _run(spark, sf, feed, names, names.where(F.col("market") == "NONE"), "2024-01-20", 5.0, 35.0)
 
 

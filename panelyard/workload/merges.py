@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelyard.operators import merge as M
-from panelyard.workload.base import KEYS, VALUES, bars, error_bars, incoming, instruments, markets, query, stored, table
+from panelyard.workload.base import KEYS, VALUES, bars, sparse_bars, incoming, instruments, markets, query, stored, table
 
 _CELLS = ", ".join(f"coalesce(n.{c}, o.{c}) AS {c}" for c in VALUES)
 
@@ -138,12 +138,12 @@ def source_priority(spark, sf):
 @query("delete_rows", """
 SELECT b.* FROM bars b
 WHERE dayofweek(b.day) NOT IN (0, 6)
-  AND NOT EXISTS (SELECT 1 FROM error_bars e WHERE e.entity = b.entity AND e.day = b.day)
-""", ("bars", "error_bars"))
+  AND NOT EXISTS (SELECT 1 FROM sparse_bars e WHERE e.entity = b.entity AND e.day = b.day)
+""", ("bars", "sparse_bars"))
 def delete_rows(spark, sf):
     panel = bars(spark, sf)
     weekends = panel.where(F.weekday("day") >= 5).select("day")
-    return M.delete_rows(panel, weekends, error_bars(spark, sf), "day", KEYS)
+    return M.delete_rows(panel, weekends, sparse_bars(spark, sf), "day", KEYS)
 
 
 @query("pending_union", """

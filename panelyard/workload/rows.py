@@ -77,14 +77,16 @@ def common_stock(spark, sf):
 
 
 @query("ascii_symbols", """
-WITH w AS (SELECT doc_id, n_chars, upper(replace(trim(split_part(text, ' ', 1)), 'ß', 'SS')) AS s FROM documents)
-SELECT doc_id, s || '-USD' AS ticker FROM w
-WHERE n_chars <= 5000 AND s <> '' AND regexp_full_match(s, '[\\x00-\\x7F]+')
+WITH w AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), ' ')) AS raw FROM documents),
+     s AS (SELECT doc_id, upper(replace(trim(raw), 'ß', 'SS')) AS s FROM w)
+SELECT s || '-USD' AS ticker, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT doc_id) AS BIGINT) AS documents FROM s
+WHERE s <> '' AND regexp_full_match(s, '[\\x00-\\x7F]+') GROUP BY 1
 """)
 def ascii_symbols(spark, sf):
-    """First words of documents as listed symbols, ranked by length."""
-    docs = table(spark, sf, "documents").select("doc_id", "n_chars", F.split_part("text", F.lit(" "), F.lit(1)).alias("s"))
-    return R.ascii_symbols(docs, "s", "n_chars", 5000).select("doc_id", "ticker")
+    """Every word of every document as a listed symbol; the place in the text is its rank, and none is too low."""
+    words = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("rank", "s"))
+    found = R.ascii_symbols(words, "s", "rank", 1 << 30)
+    return found.groupBy("ticker").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("documents"))
 
 
 @query("recent_rows", "SELECT entity, day, close FROM bars WHERE day >= DATE '2024-01-30' - 7", ("bars",))

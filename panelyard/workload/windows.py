@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelyard.functions import normalise_ticker
 from panelyard.operators import ordered as O
 from panelyard.operators.aggregates import session_counts
-from panelyard.workload.base import KEYS, bars, error_bars, incoming, markets, panel, query, stored, table
+from panelyard.workload.base import KEYS, bars, sparse_bars, incoming, markets, panel, query, stored, table
 
 
 @query("change_ratio", """
@@ -110,13 +110,13 @@ def entity_spans(spark, sf):
 
 
 @query("stale_entities", """
-WITH l AS (SELECT market, entity, max(day) AS last_date FROM error_bars JOIN instruments USING (entity) GROUP BY 1, 2)
+WITH l AS (SELECT market, entity, max(day) AS last_date FROM sparse_bars JOIN instruments USING (entity) GROUP BY 1, 2)
 SELECT market, entity, last_date, max(last_date) OVER (PARTITION BY market) AS newest,
        CAST(max(last_date) OVER (PARTITION BY market) - last_date AS INTEGER) AS days_behind,
        max(last_date) OVER (PARTITION BY market) - last_date > 3 AS stale FROM l
-""", ("error_bars", "instruments"))
+""", ("sparse_bars", "instruments"))
 def stale_entities(spark, sf):
-    last = error_bars(spark, sf).join(markets(spark, sf), "entity").groupBy("market", "entity").agg(
+    last = sparse_bars(spark, sf).join(markets(spark, sf), "entity").groupBy("market", "entity").agg(
         F.max("day").alias("last_date"))
     return O.stale_entities(last, ["market"])
 
@@ -208,31 +208,31 @@ def universe_verdict(spark, sf):
 
 @query("universe_union", """
 WITH lists AS (
-  SELECT 0 AS source, c_custkey AS position, upper('$' || ' u' || c_custkey) AS raw FROM customer WHERE c_acctbal > 5000
+  SELECT 0 AS source, c_custkey AS position, upper('$' || ' u' || c_custkey) AS raw FROM customer
   UNION ALL SELECT 1, o_orderkey, 'U' || o_custkey FROM orders)
 SELECT item, CAST(s.source AS INTEGER) AS source, CAST(s.position AS BIGINT) AS position FROM (
   SELECT regexp_replace(raw, '[^A-Z0-9-]', '', 'g') AS item,
          min({'source': source, 'position': position}) AS s FROM lists GROUP BY 1)
 """)
 def universe_union(spark, sf):
-    rich = table(spark, sf, "customer").where(F.col("c_acctbal") > 5000).select(
+    listed = table(spark, sf, "customer").select(
         F.concat(F.lit("$ u"), F.col("c_custkey").cast("string")).alias("item"), F.col("c_custkey").alias("at"))
     active = table(spark, sf, "orders").select(
         F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("item"), F.col("o_orderkey").alias("at"))
-    return O.union_distinct([rich, active], "item", "at", normalise_ticker)
+    return O.union_distinct([listed, active], "item", "at", normalise_ticker)
 
 
 @query("market_tag", """
 WITH m AS (SELECT o_custkey AS k, CASE o_orderpriority WHEN '1-URGENT' THEN 'ETF' WHEN '2-HIGH' THEN 'DOW30'
                   ELSE 'S&P500' END AS tag, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1
-                  ELSE 2 END AS priority FROM orders WHERE o_totalprice > 400000)
+                  ELSE 2 END AS priority FROM orders)
 SELECT c_custkey, coalesce((SELECT arg_min(tag, priority) FROM m WHERE m.k = c_custkey), 'US') AS tag FROM customer
 """)
 def market_tag(spark, sf):
     priority = F.when(F.col("o_orderpriority") == "1-URGENT", 0).when(F.col("o_orderpriority") == "2-HIGH", 1)\
         .otherwise(2)
     tag = F.element_at(F.array(F.lit("ETF"), F.lit("DOW30"), F.lit("S&P500")), F.col("priority") + 1)
-    member = table(spark, sf, "orders").where(F.col("o_totalprice") > 400000).withColumn("priority", priority).select(
+    member = table(spark, sf, "orders").withColumn("priority", priority).select(
         F.concat(F.lit("c."), F.col("o_custkey").cast("string")).alias("symbol"), tag.alias("tag"), "priority")
     names = table(spark, sf, "customer").select("c_custkey", F.concat(
         F.lit("C-"), F.col("c_custkey").cast("string")).alias("symbol"))
@@ -250,12 +250,12 @@ def added_rows(spark, sf):
 
 
 @query("set_difference", """
-SELECT entity, 'recent' AS side FROM (SELECT DISTINCT entity FROM stored EXCEPT SELECT DISTINCT entity FROM error_bars)
+SELECT entity, 'recent' AS side FROM (SELECT DISTINCT entity FROM stored EXCEPT SELECT DISTINCT entity FROM sparse_bars)
 UNION ALL
-SELECT entity, 'both' AS side FROM (SELECT entity FROM stored INTERSECT SELECT entity FROM error_bars)
-""", ("stored", "error_bars"))
+SELECT entity, 'both' AS side FROM (SELECT entity FROM stored INTERSECT SELECT entity FROM sparse_bars)
+""", ("stored", "sparse_bars"))
 def set_difference(spark, sf):
-    a, b = stored(spark, sf).select("entity"), error_bars(spark, sf).select("entity")
+    a, b = stored(spark, sf).select("entity"), sparse_bars(spark, sf).select("entity")
     return a.subtract(b).withColumn("side", F.lit("recent")).unionByName(
         a.intersect(b).withColumn("side", F.lit("both")))
 
