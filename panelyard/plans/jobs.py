@@ -637,11 +637,18 @@ def save_fundamentals(lake: Lake, market: str, kind: str, feed: DataFrame, apply
 
 def kr_fundamentals(
     lake: Lake, accounts: DataFrame, universe: DataFrame, today: Column, apply: bool = True,
+    requests: DataFrame | None = None, proof: DataFrame | None = None,
 ) -> DataFrame:
     """Quarterly fundamentals of the verified universe from landed account rows, in one plan.
 
     ``accounts`` are response rows (code, year, report_key, statement columns); ``universe`` is (Code, Stocks).
+    ``proof`` is the verdict of ``verify_universe`` on it and ``requests`` (failed) says which requests brought
+    nothing: an unproven universe, or failures at the limit, refuse the run before anything is read or written.
     """
+    if proof is not None:
+        G.require("universe", proof)
+    if requests is not None:
+        G.require("failure_rate", A.failure_rate(requests, F.col("failed")))
     table = lake.financials("kr")
     table.create(lake.spark)
     chosen = accounts.join(universe.select(F.col("Code").alias("code")), "code", "left_semi")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelyard.operators import fundamentals as FU
 from panelyard.operators.calendar import day_range, session_status
 from panelyard.plans import jobs as J
 from panelyard.plans.lake import Lake
@@ -187,3 +188,38 @@ def job_kr_daily(spark, sf):
         _kr(lines, date=_day("1999-01-11"), cap=False))
     J.kr_daily(lake, "1999-01-11", status, None, _kr(lines.where(~gone)), second, limits=_KR_LIMITS)
     return lake.read(lake.bars("kr")).select(*_KR_COLUMNS)
+
+
+@query("job_kr_fundamentals", """
+WITH l AS (SELECT lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS t, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(quarter(l_shipdate) AS INTEGER) AS q,
+                  CAST(sum(l_quantity) AS BIGINT) AS n FROM lineitem GROUP BY 1, 2, 3),
+     g AS (SELECT t, y, q FROM (SELECT DISTINCT t FROM l), (SELECT DISTINCT y FROM l), (SELECT unnest([1, 2, 3, 4]) AS q))
+SELECT g.t AS "Ticker", CAST(g.y AS INTEGER) AS "Year", CAST(g.q AS INTEGER) AS "Quarter", CAST(coalesce(n, 0) AS DOUBLE) AS "Revenue"
+FROM g LEFT JOIN l ON l.t = g.t AND l.y = g.y AND l.q = g.q""")
+def job_kr_fundamentals(spark, sf):
+    """Cumulative reports of every supplier landed as account rows; stored by quarter after the universe and the share of
+    failed requests were judged, and landed again without a change."""
+    lines = table(spark, sf, "lineitem").select(
+        F.lpad(F.col("l_suppkey").cast("string"), 6, "0").alias("code"), F.year("l_shipdate").alias("year"),
+        F.quarter("l_shipdate").alias("quarter"), "l_quantity")
+    years = lines.select("year").distinct()
+    # a report for every quarter, holding the sum of its year so far
+    keys = F.explode(F.sequence(F.lit(1), F.lit(4))).alias("report_key")
+    codes = lines.select("code").distinct().withColumn("_", F.lit(1))
+    grid = codes.join(years.withColumn("_", F.lit(1)), "_").select("code", "year", keys)
+    sums = lines.groupBy("code", "year", "quarter").agg(F.sum("l_quantity").alias("n"))
+    reports = grid.join(sums, ["code", "year"], "left").groupBy("code", "year", "report_key").agg(
+        F.coalesce(F.sum(F.when(F.col("quarter") <= F.col("report_key"), F.col("n"))), F.lit(0)).cast("long").alias("so_far"))
+    accounts = reports.select("code", "year", "report_key", F.lit("CFS").alias("fs_div"), F.lit("IS").alias("sj_div"),
+                              F.lit("매출액").alias("account_nm"), F.lit("0").alias("thstrm_amount"),
+                              F.col("so_far").cast("string").alias("thstrm_add_amount"), F.lit(1).alias("ord"))
+    universe = codes.select(F.col("code").alias("Code"), F.lit(10).cast("long").alias("Stocks"))
+    newest = lines.agg(F.max(F.make_date("year", F.lit(12), F.lit(31))).alias("source_date"))
+    stored = newest.select("source_date", F.col("source_date").alias("latest_known_date"))
+    proof = FU.verify_universe(stored, newest.select("source_date", F.col("source_date").alias("observed_date")), F.lit(0),
+                               newest.select("source_date").scalar())
+    requests = reports.select((F.col("so_far") < 0).alias("failed"))
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    for _ in range(2):
+        J.kr_fundamentals(lake, accounts, universe, _day("2009-01-01"), requests=requests, proof=proof)
+    return lake.read(lake.financials("kr")).select("Ticker", "Year", "Quarter", "Revenue")

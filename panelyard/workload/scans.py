@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelyard.schemas import KR_BARS, conform
+from panelyard.session import scratch_path
 from panelyard.sources import checks as K
 from panelyard.sources import readers as R
 from panelyard.sources import reshape as S
@@ -241,7 +242,6 @@ SELECT strftime(o_orderdate, '%Y%m') AS yyyymm, CAST(count(*) AS BIGINT) AS "row
 """)
 def month_partitions(spark, sf):
     """Orders written by month and found again partition by partition."""
-    from panelyard.session import scratch_path
     path = scratch_path(spark, "months")
     rows = table(spark, sf, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMM").alias("yyyymm"))
     rows.hint("rebalance", "yyyymm").write.partitionBy("yyyymm").parquet(path)
@@ -255,7 +255,6 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS "
 def partition_reads(spark, sf):
     """Orders written by year and read one partition at a time, an absent one among them."""
     from panelyard.plans.publish import partition_values
-    from panelyard.session import scratch_path
     path = scratch_path(spark, "years")
     rows = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
     rows.hint("rebalance", "year").write.partitionBy("year").parquet(path)
@@ -301,3 +300,55 @@ def adhoc_join(spark, sf):
         FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
         GROUP BY n_name, year(o_orderdate)""")
 
+
+
+# ---- files landed from the given tables, then read
+
+@query("landed_listing", """
+WITH e AS (SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate FROM orders),
+     n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM e)
+SELECT 'C' || o_custkey AS symbol, o_orderkey AS id, o_totalprice AS price FROM n WHERE rn = 1""")
+def landed_listing(spark, sf):
+    """Listing pages as JSON files, quotes as list or as map by the day; a customer's orders are repeats of a symbol."""
+    folder = scratch_path(spark, "listing")
+    orders = table(spark, sf, "orders")
+    quote = F.struct(F.col("o_totalprice").alias("price"))
+    entry = lambda quotes: F.struct(F.concat(F.lit(" c"), F.col("o_custkey").cast("string")).alias("symbol"),
+                                    F.col("o_orderkey").alias("id"), quotes.alias("quotes"))
+    pages = None
+    for shape in (F.array(quote), F.struct(quote.alias("USD"))):
+        part = orders.where((F.col("o_custkey") % 2 == 0) if pages is None else (F.col("o_custkey") % 2 == 1))
+        page = part.groupBy((F.col("o_custkey") % 16).alias("page")).agg(
+            F.sort_array(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), entry(shape).alias("e")))).alias("items"))
+        page = page.select("page", F.to_json(F.struct(F.struct(F.col("items.e").alias("cryptoCurrencyList")).alias("data")))
+                           .alias("value"))
+        pages = page if pages is None else pages.unionByName(page)
+    pages.repartition("page").write.partitionBy("page").text(folder)
+    return R.read_listing(spark, f"{folder}/*").select("symbol", "id", "price")
+
+
+@query("landed_tickers", """
+SELECT trim(c_mktsegment) || c_custkey AS ticker FROM customer WHERE c_custkey % 3 <> 0""")
+def landed_tickers(spark, sf):
+    """A ticker list with comments and blank lines between the symbols."""
+    folder = scratch_path(spark, "tickers")
+    name = F.concat("c_mktsegment", F.col("c_custkey").cast("string"))
+    line = F.when(F.col("c_custkey") % 3 != 0, F.concat(F.lit("  "), name, F.lit("\t"))).when(
+        F.col("c_custkey") % 2 == 0, F.concat(F.lit("# "), name)).otherwise("   ")
+    table(spark, sf, "customer").select(line.alias("value")).write.text(folder)
+    return R.read_ticker_list(spark, folder)
+
+
+@query("foreign_names", """
+SELECT DISTINCT 'orders' || year(o_orderdate) AS folder FROM orders WHERE year(o_orderdate) % 2 = 1""")
+def foreign_names(spark, sf):
+    """Yearly files under two naming rules: those that break the first are named."""
+    folder = scratch_path(spark, "named")
+    orders = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    orders.where("year % 2 = 0").repartition("year").write.partitionBy("year").parquet(folder)
+    orders.where("year % 2 = 1").repartition("year").write.mode("append").option("compression", "gzip").partitionBy("year") \
+        .parquet(folder)
+    rows = spark.read.parquet(folder)
+    names = R.foreign_files(rows, r"\.(zstd|snappy)\.parquet$")
+    where = rows.select(F.col("_metadata.file_name").alias("file_name"), "year").distinct()
+    return where.join(names, "file_name").select(F.concat(F.lit("orders"), F.col("year").cast("string")).alias("folder")).distinct()

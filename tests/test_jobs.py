@@ -379,3 +379,49 @@ def test_update_reads_no_file_of_other_years(spark, lake, tmp_path):
     assert first.ChangesRatio == pytest.approx((2025 / 2023 - 1) * 100)       # over the year between
     assert {(r.Ticker, r.year): (r.last, r.last_value) for r in lake.ends(table).collect()}["A", 2025] == (days[1], 4050.0)
     assert J.audit_backfill(lake, "us", F.lit("2023-01-01").cast("date")).count() == 0
+
+
+def test_kr_fundamentals_refuses_failures_and_unproven_universes(spark, lake):
+    accounts = spark.createDataFrame([("005930", 2026, 1, "CFS", "IS", "매출액", "100", None, 1)], "code string, year int, report_key int, "
+                                     "fs_div string, sj_div string, account_nm string, thstrm_amount string, thstrm_add_amount string, ord int")
+    universe, today = spark.createDataFrame([("005930", 10)], "Code string, Stocks long"), F.lit("2026-09-01").cast("date")
+    for n, gate in ((9, "failure_rate"), (8, None)):
+        requests = spark.range(10).select((F.col("id") < n).alias("failed"))
+        if gate:
+            with pytest.raises(GateRefused) as refusal:
+                J.kr_fundamentals(lake, accounts, universe, today, requests=requests)
+            assert refusal.value.gate == gate and lake.read(lake.financials("kr")).count() == 0
+        else:
+            J.kr_fundamentals(lake, accounts, universe, today, requests=requests)
+    with pytest.raises(GateRefused) as refusal:
+        J.kr_fundamentals(lake, accounts, universe, today, proof=spark.range(1).select(F.lit(False).alias("ok")))
+    assert refusal.value.gate == "universe" and lake.read(lake.financials("kr")).count() == 1
+
+
+def test_years_are_settled_in_one_plan(spark, lake):
+    """A refused year stays, the others are settled; more years bring no more jobs."""
+    floor, limits = F.lit("2020-01-01").cast("date"), J.Limits(min_universe=1000)
+    spans = {y: weekdays(f"{y}-03-02", 2) for y in (2026, 2027, 2028, 2029, 2030)}
+    days = [x for s in spans.values() for x in s]
+    J.save_kr_bars(lake, kr(spark, days), limits=limits)
+
+    def settle(years, close):
+        official = kr(spark, spans[2026] + spans[2028] + spans[2029] + spans[2030], close).unionByName(kr(spark, spans[2027], 2000.0))
+        spark.sparkContext.setJobGroup(f"settle-{len(years)}", "")
+        out = {r.year: r for r in J.settle_kr_years(lake, official, years, floor, limits, refuse=False).collect()}
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"settle-{len(years)}")
+        spark.sparkContext.setJobGroup("other", "")
+        return out, len(jobs)
+
+    out, few = settle([2025, 2026, 2027], 1001.0)
+    assert {y: r.refused for y, r in out.items()} == {2025: "closed_year", 2026: None, 2027: "mass_change"}
+    assert (out[2026].rows_replaced, out[2026].written, out[2026].mismatched_rows) == (20, True, 0)
+    assert {(r.year, r.Close) for r in lake.read(lake.bars("kr")).select("year", "Close").distinct().collect()} == {
+        (2026, 1001.0), (2027, 1000.0), (2028, 1000.0), (2029, 1000.0), (2030, 1000.0)}
+    out, many = settle([2026, 2027, 2028, 2029, 2030], 1002.0)
+    assert sorted(y for y, r in out.items() if r.written) == [2026, 2028, 2029, 2030]
+    assert many <= few + 8
+    assert {r.year for r in lake.read(lake.boundary()).collect()} == {2026, 2028, 2029, 2030}
+    with pytest.raises(GateRefused) as refusal:
+        J.settle_kr_years(lake, kr(spark, spans[2027], 2000.0), [2027], floor, limits)
+    assert refusal.value.gate == "mass_change"
