@@ -100,10 +100,11 @@ def parse_listing(df: DataFrame, items: str = "items") -> DataFrame:
     ``items`` is a JSON array of entries (text).  ``quotes`` may be a list (its first element counts) or a map
     with key USD; both shapes are read and the one present wins.  Blank symbols and entries without id are dropped; of a
     symbol listed more than once in a response, or in several, the last entry counts (responses in the order of a
-    hash of their text, which reruns repeat).
+    hash of their text, which reruns repeat).  A response is hashed once, before its entries become rows.
     """
-    entry = F.posexplode(F.from_json(F.col(items), f"array<struct<{_typed(LISTING_ITEM)}>>"))
-    rows = df.select(F.xxhash64(items).alias("response"), entry.alias("place", "i")).select("response", "place", "i.*")
+    entry = F.posexplode(F.from_json("items", f"array<struct<{_typed(LISTING_ITEM)}>>"))
+    hashed = df.select(F.xxhash64(items).alias("response"), F.col(items).alias("items"))
+    rows = hashed.select("response", entry.alias("place", "i")).select("response", "place", "i.*")
     listed = flatten_listing(rows).where(F.col("id").isNotNull())
     return keep_one(listed, ["symbol"], [F.col("response").desc(), F.col("place").desc()]).drop("response", "place")
 

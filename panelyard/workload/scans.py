@@ -304,6 +304,9 @@ def adhoc_join(spark, sf):
 
 # ---- files landed from the given tables, then read
 
+PAGE_ORDERS = 20_000
+
+
 @query("landed_listing", """
 WITH e AS (SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate FROM orders),
      n AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM e)
@@ -311,20 +314,26 @@ SELECT 'C' || o_custkey AS symbol, o_orderkey AS id, o_totalprice AS price FROM
 def landed_listing(spark, sf):
     """Listing pages as JSON files, quotes as list or as map by the day; a customer's orders are repeats of a symbol."""
     folder = scratch_path(spark, "listing")
-    orders = table(spark, sf, "orders")
+    listing_pages(table(spark, sf, "orders")).repartition("page").write.partitionBy("page").text(folder)
+    return R.read_listing(spark, f"{folder}/*").select("symbol", "id", "price")
+
+
+def listing_pages(orders, most=PAGE_ORDERS):
+    """``page, value``: responses of about ``most`` orders, so their number grows with the table; a customer is on one page."""
     quote = F.struct(F.col("o_totalprice").alias("price"))
     entry = lambda quotes: F.struct(F.concat(F.lit(" c"), F.col("o_custkey").cast("string")).alias("symbol"),
                                     F.col("o_orderkey").alias("id"), quotes.alias("quotes"))
+    half = orders.count() // (2 * most) + 1                              # pages of either shape
     pages = None
     for shape in (F.array(quote), F.struct(quote.alias("USD"))):
-        part = orders.where((F.col("o_custkey") % 2 == 0) if pages is None else (F.col("o_custkey") % 2 == 1))
-        page = part.groupBy((F.col("o_custkey") % 16).alias("page")).agg(
+        odd = 0 if pages is None else 1
+        part = orders.where(F.col("o_custkey") % 2 == odd)
+        page = part.groupBy((F.pmod(F.xxhash64("o_custkey"), F.lit(half)) * 2 + odd).alias("page")).agg(
             F.sort_array(F.collect_list(F.struct(F.col("o_orderkey").alias("k"), entry(shape).alias("e")))).alias("items"))
         page = page.select("page", F.to_json(F.struct(F.struct(F.col("items.e").alias("cryptoCurrencyList")).alias("data")))
                            .alias("value"))
         pages = page if pages is None else pages.unionByName(page)
-    pages.repartition("page").write.partitionBy("page").text(folder)
-    return R.read_listing(spark, f"{folder}/*").select("symbol", "id", "price")
+    return pages
 
 
 @query("landed_tickers", """

@@ -62,6 +62,25 @@ def test_repeated_symbols_keep_the_last_entry(spark):
     assert [(r.symbol, r.id) for r in rows] == [("ABC", 2)]
 
 
+def test_a_response_is_hashed_before_its_entries_are_rows(spark):
+    rows = S.parse_listing(spark.createDataFrame([("[]",)], "items string"))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    generate = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
+    hashed = [i for i, line in enumerate(plan) if "xxhash64(" in line]
+    assert hashed and min(hashed) > generate                             # below the step that makes rows of entries
+
+
+def test_listing_pages_grow_in_number_not_in_size(spark):
+    from panelyard.workload.scans import listing_pages
+    rows = [(c * 7 + n, c, 1.0 + n) for c in range(400) for n in range(5)] + [(9, None, 1.0), (9, 3, 2.0), (9, 3, 2.0)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double")
+    pages = listing_pages(orders, most=100).collect()
+    held = [[e["symbol"] for e in json.loads(r.value)["data"]["cryptoCurrencyList"]] for r in pages]
+    assert len({r.page for r in pages}) == len(pages) > 16 and max(map(len, held)) < 250
+    assert sum(map(len, held)) == len(rows) - 1                          # all but the order of nobody
+    assert sum(len(set(h)) for h in held) == 400                         # a customer is on one page
+
+
 def test_listing_json_both_shapes(spark, tmp_path):
     quote = {"price": 1.5, "marketCap": 9.0, "percentChange24h": 2.0, "percentChange7d": 3.0}
     entries = [{"symbol": " btc", "id": 1, "name": "Bitcoin", "circulatingSupply": 5.0, "tags": ["mineable", "pow"], "quotes": [quote]},
