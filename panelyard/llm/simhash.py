@@ -16,6 +16,8 @@ from panelyard.session import materialise
 SEED = 42
 HASH_ROWS = 1 << 15         # shingles whose bits are counted at once
 GROUP_ROWS = 1 << 12        # fingerprints of an anchor compared in one go; larger anchors are split
+PAIRED_ROWS = 1 << 8        # up to so many are compared pair by pair, more by a search
+HELD_LINKS = 1 << 21
 BATCH_ROWS = 1 << 19
 
 # ---- fingerprints
@@ -119,9 +121,14 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(part[index])], ["anchor", "fp"])
 
 
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Differing bits; the first axis holds the words of a fingerprint."""
+    return np.bitwise_count(a ^ b).sum(axis=0, dtype=np.int16)
+
+
 def _forest(fps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what is within ``most`` bits in one group: a search that visits each member once."""
-    left, a, b = np.arange(len(fps)), [], []
+    left, a, b = np.arange(fps.shape[1]), [], []
     while len(left):
         front, left = left[:1], left[1:]
         while len(front) and len(left):
@@ -130,10 +137,10 @@ def _forest(fps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
                 if not len(left):
                     break
                 some = front[at:at + 64]
-                near = np.bitwise_count(fps[some][:, None] ^ fps[left][None, :]) <= most
+                near = _apart(fps[:, some][:, :, None], fps[:, left][:, None, :]) <= most
                 hit = near.any(axis=0)
-                a.append(fps[some[near[:, hit].argmax(axis=0)]])
-                b.append(fps[left[hit]])
+                a.append(fps[0, some[near[:, hit].argmax(axis=0)]])
+                b.append(fps[0, left[hit]])
                 grown.append(left[hit])
                 left = left[~hit]
             front = np.concatenate(grown) if grown else front[:0]
@@ -142,34 +149,43 @@ def _forest(fps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def link_groups(groups: np.ndarray, fps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stars of the links inside the groups (``groups`` sorted); linear in the members."""
+    """Stars of the links inside the groups (``groups`` sorted), between the first words of ``fps`` (words x members)."""
     starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
     sizes = np.diff(np.r_[starts, len(groups)])
-    a, b = [], []
-    for lo, n in zip(starts[sizes > 16], sizes[sizes > 16]):
-        x, y = _forest(np.unique(fps[lo:lo + n]), most)
-        a.append(x), b.append(y)
-    small = np.repeat((sizes > 1) & (sizes <= 16), sizes)
-    g, f = groups[small], fps[small]
-    for shift in range(1, 16):
-        if shift >= len(g):
-            break
+    a, b, held = [], [], 0
+
+    def add(x: np.ndarray, y: np.ndarray) -> None:
+        nonlocal a, b, held
+        a.append(x.view(np.int64)), b.append(y.view(np.int64))
+        held += len(x)
+        if held > HELD_LINKS:                            # many links of few members: keep what connects them
+            x, y = local_stars(np.concatenate(a), np.concatenate(b))
+            a, b, held = [x], [y], 0
+
+    for lo, n in zip(starts[sizes > PAIRED_ROWS], sizes[sizes > PAIRED_ROWS]):
+        add(*_forest(np.unique(fps[:, lo:lo + n], axis=1), most))
+    small = np.repeat((sizes > 1) & (sizes <= PAIRED_ROWS), sizes)
+    g, f = groups[small], fps[:, small]
+    for shift in range(1, PAIRED_ROWS):
         same = np.flatnonzero(g[shift:] == g[:-shift])
-        near = same[np.bitwise_count(f[same] ^ f[same + shift]) <= most]
-        a.append(f[near]), b.append(f[near + shift])
+        if not len(same):
+            break
+        near = same[_apart(f[:, same], f[:, same + shift]) <= most]
+        add(f[0, near], f[0, near + shift])
     if not a:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return local_stars(np.concatenate(a).view(np.int64), np.concatenate(b).view(np.int64))
+    return local_stars(np.concatenate(a), np.concatenate(b))
 
 
 def _linker(most: int, group_rows: int | None):
-    """Reads (group, fp) sorted by group; gives links, and the rows of groups that are too large as they are."""
-    def rows(kind: int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), pa.array(a.astype(np.int64)),
-                                           pa.array(b.astype(np.int64))], ["kind", "a", "b"])
+    """Reads (group, words of the fingerprint) sorted by group; gives links, and the rows of groups that are too large."""
+    def rows(kind: int, a: np.ndarray, *words: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(x.view(np.int64)) for x in (a, *words)]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int8)), *columns],
+                                          ["kind", "a", "b", "c"][:len(columns) + 1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g, f, large = np.zeros(0, np.int64), np.zeros(0, np.uint64), None
+        g, f, large = np.zeros(0, np.int64), None, None
 
         def finish(g: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
             if group_rows:
@@ -177,35 +193,35 @@ def _linker(most: int, group_rows: int | None):
                 sizes = np.diff(np.r_[starts, len(g)])
                 over = np.repeat(sizes > group_rows, sizes)
                 if over.any():
-                    yield rows(1, g[over], f[over].view(np.int64))
-                g, f = g[~over], f[~over]
+                    yield rows(1, g[over], *f[:, over])
+                g, f = g[~over], f[:, ~over]
             if len(g) > 1:
                 a, b = link_groups(g, f, most)
                 if len(a):
-                    yield rows(0, a, b)
+                    yield rows(0, a, b, *[np.zeros(len(a), np.int64)] * (len(f) - 1))
 
         for batch in batches:
-            more = batch.column(0).to_numpy(zero_copy_only=False)
-            bits = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            more, *words = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            bits = np.array(words).view(np.uint64)
             if large is not None:                        # the rest of a group already known to be too large
                 n = int(np.searchsorted(more, large, "right"))
                 if n:
-                    yield rows(1, more[:n], bits[:n].view(np.int64))
-                more, bits = more[n:], bits[n:]
+                    yield rows(1, more[:n], *bits[:, :n])
+                more, bits = more[n:], bits[:, n:]
                 if not len(more):
                     continue
                 large = None
-            g, f = np.concatenate([g, more]), np.concatenate([f, bits])
-            last = int(np.searchsorted(g, g[-1], "left"))
+            g, f = np.concatenate([g, more]), bits if f is None else np.concatenate([f, bits], axis=1)
+            last = int(np.searchsorted(g, g[-1], "left")) if len(g) else 0
             if last >= BATCH_ROWS:
-                yield from finish(g[:last], f[:last])
-                g, f, last = g[last:], f[last:], 0
+                yield from finish(g[:last], f[:, :last])
+                g, f, last = g[last:], f[:, last:], 0
             if group_rows and len(g) - last > group_rows:
                 if last:
-                    yield from finish(g[:last], f[:last])
+                    yield from finish(g[:last], f[:, :last])
                 large = g[-1]
-                yield rows(1, g[last:], f[last:].view(np.int64))
-                g, f = g[:0], f[:0]
+                yield rows(1, g[last:], *f[:, last:])
+                g, f = g[:0], f[:, :0]
         if len(g):
             yield from finish(g, f)
 
@@ -225,21 +241,23 @@ def near_links(fps: DataFrame, most: int = 4, group_rows: int = GROUP_ROWS) -> D
 
 
 def _links(spread: DataFrame, most: int, group_rows: int) -> DataFrame:
-    """The links among the fingerprints of each anchor of ``spread(anchor, fp)``."""
+    """The links among the fingerprints of each anchor of ``spread(anchor, fp)``, or of ``spread(anchor, fp, more)``:
+    there ``more`` is the second word of bits, and fingerprints are named by the first."""
+    words = spread.columns[1:]
+    form = ", ".join(["kind byte", *(f"{c} long" for c in "abc"[:len(words) + 1])])
     found = materialise(spread.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(
-        _linker(most, group_rows), "kind byte, a long, b long"), "anchored")
+        _linker(most, group_rows), form), "anchored")
     links, over = found.where("kind = 0").select("a", "b"), found.where("kind = 1")
     if over.limit(1).count():
-        rows = over.select(F.col("a").alias("anchor"), F.col("b").alias("fp"))
+        rows = over.select(F.col("a").alias("anchor"), *[F.col(x).alias(c) for x, c in zip("bc", words)])
         blocks = materialise(rows.groupBy("anchor").agg(
             F.ceil(F.count(F.lit(1)) * 2 / group_rows).alias("blocks")), "blocks")
-        own = F.pmod(F.xxhash64("fp"), F.col("blocks"))
+        own = F.pmod(F.xxhash64(*words), F.col("blocks"))
         pairs = rows.join(blocks, "anchor").withColumn("own", own).withColumn(
             "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         pairs = pairs.select(F.xxhash64("anchor", F.least("own", "other"), F.greatest("own", "other"))
-                             .alias("group"), "fp")
-        more = pairs.repartition("group").sortWithinPartitions("group").mapInArrow(
-            _linker(most, None), "kind byte, a long, b long")
+                             .alias("group"), *words)
+        more = pairs.repartition("group").sortWithinPartitions("group").mapInArrow(_linker(most, None), form)
         links = links.unionByName(materialise(more, "blocked").select("a", "b"))
     return links
 
@@ -286,44 +304,69 @@ def _keep_best(docs: DataFrame, rows: DataFrame, key: str, text: str) -> DataFra
 
 # ---- near copies by exact similarity
 #
-# Two texts with four fifths of their shingles in common differ in about 10 of 64 fingerprint bits, so a covering of
-# the bits that meets them needs hundreds of anchors a text.  Here the anchors are BANDS hashes of the smallest
-# BAND_ROWS values of the shingles under different orders (MinHash): a pair at similarity s shares one with a chance
-# of 1 - (1 - s**5)**24, which is 0.99993 at 0.8.  Fingerprints of an anchor within LOOSE bits are linked, what is
-# reachable is one group, and the texts of a group are compared by their shingles.
-
-BANDS, BAND_ROWS = 24, 5
-LOOSE = 26                  # bits; five standard deviations above what pairs at 0.8 differ in
+# Two texts with four fifths of their shingles in common differ in 15 % of their fingerprint bits, so 64 bits would need
+# hundreds of anchors a text.  Here a fingerprint has WORDS words of majority bits over the set of shingles.  All but the
+# first two words are dealt DEALS times into parts of 16 bits; the value of a part is an anchor, so a text goes to
+# DEALS * 32 anchors and two texts with fewer than 32 of these 512 bits different always meet.  In 512 bits a pair at 0.8
+# differs in 78 on average; by calculation one such pair in 1,000 shares no anchor, and one in 25,000 at 0.85.  Those of
+# an anchor that differ in at most LOOSE of the first 128 bits are linked, what is reachable is one group, and
+# the texts of a group are compared by their shingles.
+
+WORDS, CHECKED, DEALS, PART = 10, 2, 4, 16
+LOOSE = 38                  # of 128 bits; 4.6 standard deviations above what pairs at 0.8 differ in
 SET_ROWS, SET_SHINGLES = 1 << 10, 1 << 20       # texts, and shingles, of a group compared in one go
 BROADCAST_KEYS = 250_000
 
-_TURNS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+_RANDOM = np.random.default_rng(SEED)
+_OFFSETS = _RANDOM.integers(0, 1 << 63, WORDS, np.uint64) * np.uint64(2) + np.uint64(1)
+_DEALT = np.concatenate([_RANDOM.permutation(64 * (WORDS - CHECKED)) for _ in range(DEALS)])
+
 
+def wide_fingerprint(shingles: np.ndarray) -> bytes:
+    """Majority bits over ``64 * WORDS`` hash bits of every shingle; a bit is 1 if set in over half of them."""
+    counts = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(shingles), 255):              # so the counts of a block fit into a byte
+        x = shingles[at:at + 255, None] + _OFFSETS
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        counts += np.add.reduce(np.unpackbits(x.view(np.uint8), axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(shingles)).tobytes()
 
-def _bands(shingles: np.ndarray) -> list[int]:
-    """The anchors of a set of shingle hashes; an empty set has none."""
-    if not len(shingles):
-        return []
-    least = np.full(len(_TURNS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 1 << 12):
-        np.minimum(least, (_TURNS[:, None] * shingles[None, at:at + (1 << 12)]).min(axis=1), out=least)
-    return [xxhash.xxh64_intdigest(row.tobytes(), i) - (1 << 63) for i, row in enumerate(least.reshape(BANDS, -1))]
+
+def parts_of(prints: np.ndarray) -> np.ndarray:
+    """The anchors of wide fingerprints (bytes, one a row): number and value of every part."""
+    bits = np.unpackbits(prints[:, 8 * CHECKED:], axis=1)[:, _DEALT]
+    values = np.ascontiguousarray(np.packbits(bits, axis=1)).view(">u2").astype(np.int64)
+    return values | np.arange(values.shape[1]) << PART
+
+
+def _parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads wide fingerprints; gives every anchor with the words that are compared there."""
+    for batch in batches:
+        held = [x.as_py() for x in batch.column(0)]
+        for at in range(0, len(held), 1 << 10):
+            prints = np.frombuffer(b"".join(held[at:at + (1 << 10)]), np.uint8).reshape(-1, 8 * WORDS)
+            anchors = parts_of(prints)
+            words = np.ascontiguousarray(prints[:, :8 * CHECKED]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                anchors.ravel(), *(np.repeat(w, anchors.shape[1]) for w in words.T))], ["anchor", "fp", "more"])
 
 
 def _sketches(words_in_shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, fps, sizes, bands = [], [], [], []
+            nodes, prints, sizes = [], [], []
             for body in batch.column(2):
                 shingles = np.unique(_shingles(body.as_py() or b"", words_in_shingle).astype(np.uint64))
                 nodes.append(xxhash.xxh64_intdigest(shingles.tobytes(), SEED) - (1 << 63) if len(shingles) else 0)
-                fps.append(_majority(shingles.astype(">u8")) if len(shingles) else 0)
+                prints.append(wide_fingerprint(shingles))
                 sizes.append(len(shingles))
-                bands.append(_bands(shingles))
+            fps = np.array([np.frombuffer(x, np.int64, 1)[0] for x in prints], np.int64)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(fps, pa.int64()),
-                pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "mark", "node", "fp", "shingles", "bands"])
+                batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(fps),
+                pa.array(prints, pa.binary()), pa.array(sizes, pa.int64())],
+                ["doc_id", "mark", "node", "fp", "print", "shingles"])
 
     return run
 
@@ -384,18 +427,19 @@ def similar_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", *,
     """One row per input row: ``doc_id, mark, root``; rows of one component have one ``root``.
 
     Texts are linked when their sets of shingles have a Jaccard similarity of ``jaccard`` or more, compared by the
-    shingles' 64-bit hashes; none below is linked.  Of the pairs at 0.8 one in 14,000 is not met by an anchor, of closer
-    ones fewer.  Texts without words are one component.  Equal sets are one class from the start.  A group with more than
+    shingles' 64-bit hashes; none below is linked.  Candidates come from their fingerprints: of the pairs at 0.8 one in
+    1,000 is not met by an anchor, of closer ones fewer.  Texts without words are one component.  Equal sets are one class from the start.  A group with more than
     ``set_rows`` texts or ``set_shingles`` shingles is dealt into blocks and each pair of blocks compared by itself.
     """
     body = F.col(text).cast("binary")
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), _mark(text).alias("mark"), body.alias("body"))
     rows = materialise(rows.mapInArrow(_sketches(words_in_shingle), "doc_id long, mark long, node long, fp long, "
-                                       "shingles long, bands array<long>"), "sketches")
+                                       "print binary, shingles long"), "sketches")
     classes = materialise(rows.groupBy("node").agg(
         F.min(F.struct("doc_id", "mark")).alias("at"), F.first("fp").alias("fp"),
-        F.first("shingles").alias("shingles"), F.first("bands").alias("bands")), "classes")
-    loose = components(_links(classes.select(F.explode("bands").alias("anchor"), "fp"), LOOSE, GROUP_ROWS))
+        F.first("print").alias("print"), F.first("shingles").alias("shingles")), "classes")
+    spread = classes.where("shingles > 0").select("print").mapInArrow(_parted, "anchor long, fp long, more long")
+    loose = components(_links(spread, LOOSE, GROUP_ROWS))
     loose = materialise(loose.select(F.col("node").alias("fp"), F.col("root").alias("super")), "loose")
     member = classes.where("shingles > 0").join(loose, "fp", "left").select(
         "node", "at", "shingles", F.coalesce("super", "fp").alias("super"))

@@ -7,6 +7,7 @@ import xxhash
 
 from panelyard.llm.components import components, local_stars
 from panelyard.llm.line_dedup import dedup_lines, one_edit, variants
+from panelyard.llm import simhash
 from panelyard.llm.simhash import (anchors_of, fingerprint, keep_one, keep_one_similar, near_classes, near_links,
                                    similar_classes)
 from panelyard.llm.vectors import build_index, near_vectors
@@ -130,6 +131,38 @@ def test_near_copies_from_four_fifths_on(docs_of, odd_texts, clashing, set_rows)
     assert kept.columns == df.columns and kept.count() == len(want)
 
 
+def test_wide_fingerprints_are_majorities_and_their_parts_cover_them():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, n, np.uint64) for n in (1, 2, 255, 256, 1000)]
+    for x in sets:
+        single = [np.unpackbits(np.frombuffer(simhash.wide_fingerprint(x[i:i + 1]), np.uint8)) for i in range(len(x))]
+        got = np.unpackbits(np.frombuffer(simhash.wide_fingerprint(x), np.uint8))
+        assert (got == (2 * np.sum(single, axis=0, dtype=np.int64) > len(x))).all()
+        assert len(got) == 640 and 250 < got.sum() < 390 or len(x) < 3
+    base = rng.integers(0, 2, 640).astype(np.uint8)
+    for apart in [0, 1, 16, 31] * 50:                    # whatever the bits: fewer than 32 of 512 always share a part
+        other = base.copy()
+        other[128 + rng.choice(512, apart, replace=False)] ^= 1
+        a, b = simhash.parts_of(np.packbits([base, other], axis=1))
+        assert len(set(a) & set(b)) >= 4 and len(set(a)) == 128
+
+
+def test_candidates_of_near_copies_come_from_their_fingerprints():
+    rng, met, pairs = np.random.default_rng(5), 0, 400
+    for _ in range(pairs):
+        n = int(rng.choice([60, 200, 900]))
+        both, one = rng.integers(0, 1 << 63, n, np.uint64), round(n * 0.25 / 2)          # similarity 0.8
+        x, y = (np.r_[both, rng.integers(0, 1 << 63, one, np.uint64)] for _ in range(2))
+        prints = np.array([np.frombuffer(simhash.wide_fingerprint(v), np.uint8) for v in (x, y)])
+        a, b = simhash.parts_of(prints)
+        met += bool(set(a) & set(b)) and np.bitwise_count(prints[0, :16] ^ prints[1, :16]).sum() <= simhash.LOOSE
+    assert met >= pairs - 3
+    prints = np.array([np.frombuffer(simhash.wide_fingerprint(rng.integers(0, 1 << 63, 99, np.uint64)), np.uint8)
+                       for _ in range(300)])
+    bits = np.array([np.bitwise_count(prints[i, :16] ^ prints[j, :16]).sum() for i in range(300) for j in range(i)])
+    assert (bits > simhash.LOOSE).mean() > 0.9999        # texts with nothing in common are no candidates
+
+
 def test_near_copies_of_no_documents(docs_of):
     assert keep_one_similar(docs_of([])).collect() == []
 
