@@ -270,3 +270,45 @@ def test_each_vector_length_is_linked_by_itself(spark):
         spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
     assert got == {**{i: (3, i % 2) for i in range(8)}, 20: (2, 20), 21: (2, 20), 22: (2, 20), 23: (0, 23),
                    30: (1, 30), 31: (1, 30), 32: (0, 32)}
+
+
+def test_vectors_take_little_scratch_space(spark, monkeypatch):
+    import os
+    import time
+
+    from panelyard.llm import vectors
+
+    for name, value in (("FEW", 100), ("WAVE_BYTES", 1 << 18), ("PLACES", 5_000)):
+        monkeypatch.setattr(vectors, name, value, raising=False)
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
+
+    def shuffled():
+        return sum(os.path.getsize(os.path.join(d, f)) for top in folders for d, _, names in os.walk(top.getPath())
+                   for f in names if f.startswith("shuffle_") and os.path.exists(os.path.join(d, f)))
+
+    rnd = np.random.default_rng(6)
+    x = rnd.normal(size=(6000, 64))
+    x[4000:5000] = x[:1000] + 0.3 * rnd.normal(size=(1000, 64))
+    x[5000:] = x[3999] + 0.2 * rnd.normal(size=(1000, 64))
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    before, peaks, write = shuffled(), [], vectors.materialise
+
+    def watched(frame, label):
+        out = write(frame, label)
+        until = time.time() + 5         # files go a moment after the job
+        peaks.append(shuffled())
+        while label == "found" and shuffled() > before + x.nbytes // 2 and time.time() < until:
+            time.sleep(0.1)
+        return out
+
+    monkeypatch.setattr(vectors, "materialise", watched)
+    got = {r.vec_id: r for r in near_vectors(df, cell_rows=300).collect()}
+    assert max(peaks) - before <= 5 * x.nbytes
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    links = np.array([got[i].n_links for i in range(len(x))])
+    assert (links <= near.sum(1)).all() and links.sum() >= 0.998 * near.sum() and near.sum() > 500_000
+    roots = roots_brute(range(len(x)), np.argwhere(np.triu(near)).tolist())
+    assert np.mean([got[i].component_id == roots[i] for i in range(len(x))]) > 0.999
